@@ -2,18 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimlathe.functions.coerce import nan_to_null
+
 MESSAGE = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 
 
+def _json_value(field: T.StructField) -> Column:
+    c = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        c = c.cast("string")
+    elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        c = nan_to_null(c)
+    return c.alias(field.name)
+
+
 def as_messages(df: DataFrame, key: str | None) -> DataFrame:
     """One message per row: the value is the whole row as JSON with NULL fields kept, the key is one
-    column as text, or NULL where that column does not exist."""
+    column as text, or NULL where that column does not exist. Dates and times are text, NaN is null."""
     name = F.col(key).cast("string") if key and key in df.columns else F.lit(None).cast("string")
-    body = F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns)), {"ignoreNullFields": "false"})
+    body = F.to_json(F.struct(*(_json_value(f) for f in df.schema)), {"ignoreNullFields": "false"})
     return df.select(name.alias("key"), body.alias("value"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,22 +74,14 @@ class Warehouse:
         """
         new = unseen(df, self.keys(table, key, df), key, null_safe=True)
         new = keep_first(new, key, first_by or [c for c in df.columns if c not in key] or list(key))
-        seen = F.count(F.lit(1)).alias("rows")
-        observation = _observe(new, seen)
-        self.append(observation[0], table)
-        return observation[1].get["rows"]
+        counted = Observation()
+        self.append(new.observe(counted, F.count(F.lit(1)).alias("rows")), table)
+        return counted.get["rows"]
 
     def view(self, df: DataFrame, name: str) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _observe(df: DataFrame, metric):
-    from pyspark.sql import Observation
-
-    observation = Observation(f"load-{uuid.uuid4().hex}")
-    return df.observe(observation, metric), observation
-
-
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, batch: int = 1000, **options: str) -> None:
     """Write to a database that has a JDBC driver on the class path. ``truncate`` keeps its grants and indexes."""
     writer = df.write.format("jdbc").option("url", url).option("dbtable", table)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,17 +39,24 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def insert_batch(
     batch: DataFrame, batch_id: int, path: str, key: Sequence[str], first_by: Sequence[str]
-) -> None:
-    """Store the rows of one micro-batch whose key no earlier batch stored.
+) -> int:
+    """Store the rows of one micro-batch whose key no earlier batch stored; returns how many.
 
     The rows go to the partition ``load_batch=<id>`` by overwrite, and only earlier batches count as
     stored. A batch that is run again after a failure therefore replaces its own output.
     """
     spark = batch.sparkSession
-    earlier = _stored(spark, path, batch.schema).where(F.col(BATCH) < batch_id)
-    new = keep_first(unseen(batch, earlier, key, null_safe=True), key, first_by)
-    writer = new.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+    batch = batch.persist()
+    try:
+        earlier = _stored(spark, path, batch.schema).where(F.col(BATCH) < batch_id)
+        new = keep_first(unseen(batch, earlier, key, null_safe=True), key, first_by)
+        counted = Observation()
+        new = new.observe(counted, F.count(F.lit(1)).alias("rows"))
+        writer = new.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
+        return counted.get["rows"]
+    finally:
+        batch.unpersist()
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -65,12 +72,13 @@ def rows_per_batch(spark: SparkSession, path: str, schema: T.StructType) -> Data
 def drain(
     rows: DataFrame, path: str, checkpoint: str, key: Sequence[str], first_by: Sequence[str], timeout: int = 3600
 ) -> int:
-    """Run a stream over everything not yet consumed, then stop; returns the rows it read.
+    """Run a stream over everything not yet consumed, then stop; returns the inserted rows.
 
     The position is committed to ``checkpoint`` after the sink has stored the batch.
     """
+    inserted: list[int] = []
     query = (
-        rows.writeStream.foreachBatch(lambda df, n: insert_batch(df, n, path, key, first_by))
+        rows.writeStream.foreachBatch(lambda df, n: inserted.append(insert_batch(df, n, path, key, first_by)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -78,7 +86,7 @@ def drain(
     if not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"topic not drained within {timeout} s")
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return sum(inserted)
 
 
 @dataclass(frozen=True)
@@ -94,13 +102,13 @@ class Subscription:
 def consume_all(
     spark: SparkSession, subscriptions: Iterable[Subscription], target: str, checkpoints: str, timeout: int = 3600
 ) -> dict[str, int]:
-    """Drain dimensions, then facts; returns the rows read per table."""
+    """Drain dimensions, then facts; returns the inserted rows per table."""
     ordered = sorted(subscriptions, key=lambda s: s.spec.area != "dimensions")
-    read = {}
+    inserted = {}
     for sub in ordered:
         rows = parse_typed(read_topic(spark, sub.topic, sub.servers), sub.spec)
         name = sub.spec.qualified
-        read[name] = drain(
+        inserted[name] = drain(
             rows, f"{target}/{name}", f"{checkpoints}/{name}", sub.key, list(sub.spec.columns), timeout
         )
-    return read
+    return inserted
