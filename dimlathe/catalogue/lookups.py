@@ -58,9 +58,10 @@ def lookup_composite_key(t: Tables) -> DataFrame:
     " FROM orders LEFT JOIN customer ON c_custkey = o_custkey",
 )
 def lookup_reverse_key(t: Tables) -> DataFrame:
-    fact = order_fact(t).select("order_id", "customer_key")
+    buyers = customer_dimension(t)
+    fact = order_fact(t, buyers).select("order_id", "customer_key")
     names = {"customer_id": "customer_id", "customer_name": "customer_name"}
-    return lookup.lookup(fact, customer_dimension(t), {"customer_key": "customer_key"}, names).drop("customer_key")
+    return lookup.lookup(fact, buyers, {"customer_key": "customer_key"}, names).drop("customer_key")
 
 
 @query(

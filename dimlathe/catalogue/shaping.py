@@ -76,8 +76,9 @@ def customer_dimension(t: Tables) -> DataFrame:
     return shape.stamp_lineage(keyed, "csv", LOAD_TS)
 
 
-def order_fact(t: Tables) -> DataFrame:
+def order_fact(t: Tables, buyers: DataFrame | None = None) -> DataFrame:
     """Orders with surrogate foreign keys, year and own key."""
+    buyers = customer_dimension(t) if buyers is None else buyers
     named = shape.pick(
         t.orders,
         {
@@ -89,7 +90,7 @@ def order_fact(t: Tables) -> DataFrame:
         },
     ).withColumn("year", F.year("ordered_at").cast("bigint"))
     keyed = keys.dense_key(named, "order_key", ["ordered_at", "order_id"])
-    keyed = lookup(keyed, customer_dimension(t), {"customer_id": "customer_id"}, {"customer_key": "customer_key"})
+    keyed = lookup(keyed, buyers, {"customer_id": "customer_id"}, {"customer_key": "customer_key"})
     keyed = lookup_time_key(keyed, "ordered_at", calendar(t.spark, *CALENDAR))
     return shape.stamp_lineage(keyed, "csv", LOAD_TS).select(*ORDER.columns)
 

@@ -29,7 +29,7 @@ def parse_typed(messages: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([*schema, T.StructField(BATCH, T.LongType())])
+    full = T.StructType([*schema, T.StructField(BATCH, T.StringType())])
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(hadoop_path):
@@ -38,21 +38,21 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def insert_batch(
-    batch: DataFrame, batch_id: int, path: str, key: Sequence[str], first_by: Sequence[str]
+    batch: DataFrame, batch_name: str, path: str, key: Sequence[str], first_by: Sequence[str]
 ) -> int:
-    """Store the rows of one micro-batch whose key no earlier batch stored; returns how many.
+    """Store the rows of one micro-batch whose key no other batch stored; returns how many.
 
-    The rows go to the partition ``load_batch=<id>`` by overwrite, and only earlier batches count as
+    The rows go to the partition ``load_batch=<name>`` by overwrite, and only other batches count as
     stored. A batch that is run again after a failure therefore replaces its own output.
     """
     spark = batch.sparkSession
     batch = batch.persist()
     try:
-        earlier = _stored(spark, path, batch.schema).where(F.col(BATCH) < batch_id)
-        new = keep_first(unseen(batch, earlier, key, null_safe=True), key, first_by)
+        others = _stored(spark, path, batch.schema).where(F.col(BATCH) != batch_name)
+        new = keep_first(unseen(batch, others, key, null_safe=True), key, first_by)
         counted = Observation()
         new = new.observe(counted, F.count(F.lit(1)).alias("rows"))
-        writer = new.withColumn(BATCH, F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+        writer = new.withColumn(BATCH, F.lit(batch_name)).write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
         return counted.get["rows"]
     finally:
@@ -69,6 +69,12 @@ def rows_per_batch(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return _stored(spark, path, schema).groupBy(BATCH).agg(F.count("*").alias("rows"))
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id Spark gives a stream for the life of its checkpoint; a new checkpoint has a new id, so
+    its batch numbers, which start again at 0, do not collide with earlier ones."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
+
+
 def drain(
     rows: DataFrame, path: str, checkpoint: str, key: Sequence[str], first_by: Sequence[str], timeout: int = 3600
 ) -> int:
@@ -77,8 +83,13 @@ def drain(
     The position is committed to ``checkpoint`` after the sink has stored the batch.
     """
     inserted: list[int] = []
+
+    def store(batch: DataFrame, number: int) -> None:
+        name = f"{_query_id(batch.sparkSession, checkpoint)}-{number}"
+        inserted.append(insert_batch(batch, name, path, key, first_by))
+
     query = (
-        rows.writeStream.foreachBatch(lambda df, n: inserted.append(insert_batch(df, n, path, key, first_by)))
+        rows.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
