@@ -199,8 +199,11 @@ def json_double_explode(t: Tables) -> DataFrame:
     )
     pages = envelopes.read_envelopes(t.spark, path, envelopes.envelope_schema("Data", "OrderTable", "Orders", order))
     lines = envelopes.nested_records(
-        pages, "Data.OrderTable.Orders", "Lines", {"order_id": "orderId"},
-        {"line_number": "number", "part_id": "part", "quantity": "quantity", "price": "price"},
+        pages,
+        [
+            ("Data.OrderTable.Orders", {"order_id": "orderId"}),
+            ("Lines", {"line_number": "number", "part_id": "part", "quantity": "quantity", "price": "price"}),
+        ],
     )
     return lines.select(
         *(to_integer(c).alias(c) for c in ("order_id", "line_number", "part_id")),
@@ -375,7 +378,7 @@ def stream_incremental_read(t: Tables) -> DataFrame:
 
     def run() -> int:
         rows = consume.parse_typed(topics.read_topic(t.spark, topic), EVENT)
-        return consume.drain(rows, target, position, ["event_id"], ["ts"])
+        return consume.drain(rows, position, consume.folder_sink(target, ["event_id"], ["ts"]))
 
     before = run()
     repeated = run()
@@ -403,17 +406,30 @@ def stream_parse_json(t: Tables) -> DataFrame:
     value = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
     _deliver(t.events.withColumn("value", value), topic)
     rows = consume.parse_typed(topics.read_topic(t.spark, topic), EVENT)
-    consume.drain(rows, target, position, ["event_id"], ["ts"])
+    consume.drain(rows, position, consume.folder_sink(target, ["event_id"], ["ts"]))
     return _shown(consume.read_table(t.spark, target, EVENT.schema()))
 
 
 @query("stream_idempotent_insert", _EVENTS_SQL)
 def stream_idempotent_insert(t: Tables) -> DataFrame:
     topic, target = scratch_path(t.spark, "topic"), scratch_path(t.spark, "target")
-    users, events = scratch_path(t.spark, "users"), scratch_path(t.spark, "positions")
+    positions, lost_positions = scratch_path(t.spark, "positions"), scratch_path(t.spark, "positions")
+    events = consume.Subscription(EVENT, topic, consume.folder_sink(target, ["event_id"], ["ts"]))
     for drop in _drops(t):
         _deliver(drop, topic)
-        consume.consume_all(t.spark, [consume.Subscription(EVENT, topic, ("event_id",))], target, events)
+        consume.consume_all(t.spark, [events], positions)
     # Without its position the stream delivers everything again; nothing new may be stored.
-    consume.consume_all(t.spark, [consume.Subscription(EVENT, topic, ("event_id",))], target, users)
-    return _shown(consume.read_table(t.spark, f"{target}/facts.events", EVENT.schema()))
+    consume.consume_all(t.spark, [events], lost_positions)
+    return _shown(consume.read_table(t.spark, target, EVENT.schema()))
+
+
+@query("stream_table_insert", _EVENTS_SQL)
+def stream_table_insert(t: Tables) -> DataFrame:
+    house, schema = _warehouse(t)
+    topic, positions = scratch_path(t.spark, "topic"), scratch_path(t.spark, "positions")
+    first, second, _ = _drops(t)
+    house.replace(first, f"{schema}.events")
+    _deliver(second.unionByName(t.events), topic)
+    sink = consume.table_sink(house, f"{schema}.events", ["event_id"], ["ts"])
+    consume.consume_all(t.spark, [consume.Subscription(EVENT, topic, sink)], positions)
+    return _shown(house.read(f"{schema}.events"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimlathe.functions.text import contains_ci
-from dimlathe.operators.keys import append_keys, dense_key, keep_first, max_id_outside
+from dimlathe.operators.keys import append_keys, dense_key, keep_first, max_id_outside, max_key
 from dimlathe.operators.lookup import unseen
 from dimlathe.operators.shape import align, select_existing, stamp_lineage
 from dimlathe.registry import TableSpec
@@ -73,7 +73,7 @@ def upsert(
     load_ts: datetime,
     lineage: str = "source",
     loaded_at: str = "created_at",
-    floor: int = 0,
+    floor: int | Column = 0,
     first_existing_by: Sequence[str] | None = None,
     last_batch_by: Sequence[str] | None = None,
 ) -> DataFrame:
@@ -85,7 +85,8 @@ def upsert(
 
     The stored table is left-joined to the batch instead of a full outer join: a batch under the
     broadcast threshold then moves none of the stored rows. Both sides must hold each key once;
-    ``first_existing_by`` and ``last_batch_by`` make it so where that is not known.
+    ``first_existing_by`` and ``last_batch_by`` make it so where that is not known. When ``existing``
+    is only the part of a table that the batch touches, ``floor`` is the largest key of the rest.
     """
     if first_existing_by is not None:
         existing = keep_first(existing, keys, first_existing_by)
@@ -104,8 +105,9 @@ def upsert(
     )
     added = unseen(_with_key(batch, keys), existing, keys)
     added = added.withColumn(loaded_at, F.lit(load_ts.isoformat(sep=" ")).cast("timestamp_ntz"))
-    largest = existing.agg(F.greatest(F.coalesce(F.max(surrogate), F.lit(0)), F.lit(floor)).alias("m")).scalar()
-    added = dense_key(select_existing(added, existing.columns), surrogate, key_order, start=largest)
+    floor = F.lit(floor) if isinstance(floor, int) else floor
+    start = F.greatest(max_key(existing, surrogate), floor)
+    added = dense_key(select_existing(added, existing.columns), surrogate, key_order, start=start)
     return align(stored, added)
 
 
@@ -171,7 +173,7 @@ def increment(
     new = keep_first(unseen(batch, existing, keys, null_safe=True), keys, key_order)
     new = append_keys(new, existing, surrogate, key_order)
     if identity:
-        largest = existing.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint").alias("m")).scalar()
+        largest = max_key(existing, surrogate)
         after = max_id_outside(existing, identity, lineage, protected, identity_floor)
         new = new.withColumn(identity, F.col(surrogate) - largest + after)
     new = stamp_lineage(new, source, load_ts, lineage, loaded_at)

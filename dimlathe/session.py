@@ -28,6 +28,7 @@ def local_session(cores: int | str = "*", app: str = "dimlathe", **extra: str) -
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
     )
@@ -63,14 +64,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/dimlathe/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop path object and its file system, for listings and existence tests."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, files = file_system(spark, path)
+    return files.exists(hadoop_path)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete everything this application wrote through ``scratch_path``.
 
     Call it after the final tables are written: frames that still read scratch tables break.
     """
-    jvm, context = spark._jvm, spark.sparkContext
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/dimlathe/{context.applicationId}")
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    hadoop_path, files = file_system(spark, f"{scratch_root(spark)}/dimlathe/{spark.sparkContext.applicationId}")
+    files.delete(hadoop_path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -40,25 +40,22 @@ def records(pages: DataFrame, array_path: str, fields: Mapping[str, str] | None
 
 
 def nested_records(
-    pages: DataFrame,
-    array_path: str,
-    child_array: str,
-    parent_fields: Mapping[str, str],
-    child_fields: Mapping[str, str],
-    first_parent_only: bool = False,
+    pages: DataFrame, levels: Sequence[tuple[str, Mapping[str, str]]], first_only: bool = False
 ) -> DataFrame:
-    """One row per child of each record, with parent fields carried down.
+    """One row per element of the innermost array, with the outer levels' fields carried down.
 
-    ``first_parent_only`` reads only the first record of each page.
+    ``levels`` lists, from the outside, an array path (relative to the enclosing element) and the
+    fields to take there. ``first_only`` reads only the first element of the outermost array.
     """
-    if first_parent_only:
-        parents = pages.select(F.try_element_at(F.col(array_path), F.lit(1)).alias("__p"))
-    else:
-        parents = pages.select(F.explode(array_path).alias("__p"))
-    carried = parents.select(
-        *(F.col(f"__p.{p}").alias(c) for c, p in parent_fields.items()), F.explode(f"__p.{child_array}").alias("__c")
-    )
-    return carried.select(*parent_fields, *(F.col(f"__c.{p}").alias(c) for c, p in child_fields.items()))
+    rows, carried, prefix = pages, [], ""
+    for depth, (array, fields) in enumerate(levels):
+        path = f"{prefix}{array}"
+        element = F.try_element_at(F.col(path), F.lit(1)) if first_only and depth == 0 else F.explode(path)
+        rows = rows.select(*carried, element.alias(f"__e{depth}"))
+        prefix = f"__e{depth}."
+        rows = rows.select(*carried, *(F.col(prefix + p).alias(c) for c, p in fields.items()), f"__e{depth}")
+        carried += list(fields)
+    return rows.select(*carried)
 
 
 def first_element(array: Column) -> Column:

@@ -10,13 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv_as_text(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+INGEST = "__ingest"
+
+
+def read_csv_as_text(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_order: bool = False
+) -> DataFrame:
     """CSV with a header, every cell as text. Types are applied afterwards, so a bad cell is a NULL and
-    not a failed load. Without ``columns`` the names come from the header line."""
+    not a failed load. Without ``columns`` the names come from the header line.
+
+    ``ingest_order`` adds each row's place (file, split, row of the split) for keep-first.
+    """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    return reader.csv(path)
+    cells = reader.csv(path)
+    if ingest_order:
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+        cells = cells.withColumn(INGEST, place)
+    return cells
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -13,7 +13,9 @@ from dimlathe.operators.keys import keep_first
 from dimlathe.operators.lookup import unseen
 from dimlathe.operators.shape import conform
 from dimlathe.registry import TableSpec
+from dimlathe.session import path_exists
 from dimlathe.sources.topics import read_topic
+from dimlathe.sources.warehouse import Warehouse
 
 BATCH = "load_batch"
 
@@ -30,9 +32,7 @@ def parse_typed(messages: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     full = T.StructType([*schema, T.StructField(BATCH, T.StringType())])
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(hadoop_path):
+    if not path_exists(spark, path):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(path)
 
@@ -75,9 +75,28 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
-def drain(
-    rows: DataFrame, path: str, checkpoint: str, key: Sequence[str], first_by: Sequence[str], timeout: int = 3600
-) -> int:
+Sink = Callable[[DataFrame, str], int]
+
+
+def folder_sink(path: str, key: Sequence[str], first_by: Sequence[str]) -> Sink:
+    """Store batches with ``insert_batch``."""
+    return lambda batch, name: insert_batch(batch, name, path, key, first_by)
+
+
+def table_sink(warehouse: Warehouse, table: str, key: Sequence[str], first_by: Sequence[str] | None = None) -> Sink:
+    """Insert unseen keys into a warehouse table. A batch that is run again finds its own keys stored."""
+
+    def store(batch: DataFrame, name: str) -> int:
+        batch = batch.persist()
+        try:
+            return warehouse.insert_unseen(batch, table, key, first_by)
+        finally:
+            batch.unpersist()
+
+    return store
+
+
+def drain(rows: DataFrame, checkpoint: str, sink: Sink, timeout: int = 3600) -> int:
     """Run a stream over everything not yet consumed, then stop; returns the inserted rows.
 
     The position is committed to ``checkpoint`` after the sink has stored the batch.
@@ -85,8 +104,7 @@ def drain(
     inserted: list[int] = []
 
     def store(batch: DataFrame, number: int) -> None:
-        name = f"{_query_id(batch.sparkSession, checkpoint)}-{number}"
-        inserted.append(insert_batch(batch, name, path, key, first_by))
+        inserted.append(sink(batch, f"{_query_id(batch.sparkSession, checkpoint)}-{number}"))
 
     query = (
         rows.writeStream.foreachBatch(store)
@@ -106,20 +124,17 @@ class Subscription:
 
     spec: TableSpec
     topic: str
-    key: tuple[str, ...]
-    servers: str | None = None
+    sink: Sink
 
 
 def consume_all(
-    spark: SparkSession, subscriptions: Iterable[Subscription], target: str, checkpoints: str, timeout: int = 3600
+    spark: SparkSession, subscriptions: Iterable[Subscription], checkpoints: str, servers: str | None = None,
+    timeout: int = 3600,
 ) -> dict[str, int]:
     """Drain dimensions, then facts; returns the inserted rows per table."""
-    ordered = sorted(subscriptions, key=lambda s: s.spec.area != "dimensions")
     inserted = {}
-    for sub in ordered:
-        rows = parse_typed(read_topic(spark, sub.topic, sub.servers), sub.spec)
+    for sub in sorted(subscriptions, key=lambda s: s.spec.area != "dimensions"):
+        rows = parse_typed(read_topic(spark, sub.topic, servers), sub.spec)
         name = sub.spec.qualified
-        inserted[name] = drain(
-            rows, f"{target}/{name}", f"{checkpoints}/{name}", sub.key, list(sub.spec.columns), timeout
-        )
+        inserted[name] = drain(rows, f"{checkpoints}/{name}", sub.sink, timeout)
     return inserted
