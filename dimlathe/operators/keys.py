@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
@@ -82,6 +83,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Colu
     return df.withColumn("__rank", F.row_number().over(window)).where("__rank = 1").drop("__rank")
 
 
+def complete_keys(df: DataFrame, keys: Sequence[str], complete: bool = True) -> DataFrame:
+    """Rows whose key has no NULL part, or the others."""
+    has_null = reduce(lambda x, y: x | y, (F.col(f"`{k}`").isNull() for k in keys))
+    return df.where(~has_null if complete else has_null)
+
+
+def keep_first_known(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+    """``keep_first`` among complete keys; rows with a NULL key part cannot be told apart and all stay."""
+    first = keep_first(complete_keys(df, keys), keys, order_by)
+    return first.unionByName(complete_keys(df, keys, complete=False))
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], values: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:

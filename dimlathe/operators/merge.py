@@ -10,7 +10,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimlathe.functions.text import contains_ci
-from dimlathe.operators.keys import append_keys, dense_key, keep_first, max_id_outside, max_key
+from dimlathe.operators.keys import (
+    append_keys,
+    complete_keys,
+    dense_key,
+    keep_first,
+    keep_first_known,
+    max_id_outside,
+    max_key,
+)
 from dimlathe.operators.lookup import unseen
 from dimlathe.operators.shape import align, select_existing, stamp_lineage
 from dimlathe.registry import TableSpec
@@ -24,15 +32,10 @@ def same_values(left: DataFrame, right: DataFrame, columns: Sequence[str], prefi
     return reduce(lambda x, y: x & y, tests, F.lit(True))
 
 
-def _with_key(df: DataFrame, keys: Sequence[str], present: bool = True) -> DataFrame:
-    has_null = reduce(lambda x, y: x | y, (F.col(k).isNull() for k in keys))
-    return df.where(~has_null if present else has_null)
-
-
 def _incoming(batch: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The batch under names that cannot clash with the stored table's."""
     names = dict.fromkeys([*keys, *(c for c in columns if c in batch.columns)])
-    return _with_key(batch, keys).select(
+    return complete_keys(batch, keys).select(
         *(F.col(c).alias(f"__new_{c}") for c in names), F.lit(True).alias("__matched")
     )
 
@@ -55,8 +58,8 @@ def action_counts(
     stored = existing.select(*dict.fromkeys([*keys, lineage, *compare]))
     matched = _join_incoming(stored, _incoming(batch, keys, compare), keys, "inner")
     actions = matched.select(_action_on_match(compare, lineage, protected).alias("action"))
-    added = unseen(_with_key(batch, keys), existing, keys).select(F.lit(ADD).alias("action"))
-    broken = _with_key(batch, keys, present=False).select(F.lit(NULL_KEY).alias("action"))
+    added = unseen(complete_keys(batch, keys), existing, keys).select(F.lit(ADD).alias("action"))
+    broken = complete_keys(batch, keys, complete=False).select(F.lit(NULL_KEY).alias("action"))
     return actions.union(added).union(broken).groupBy("action").agg(F.count("*").alias("rows"))
 
 
@@ -103,7 +106,7 @@ def upsert(
             for c in existing.columns
         )
     )
-    added = unseen(_with_key(batch, keys), existing, keys)
+    added = unseen(complete_keys(batch, keys), existing, keys)
     added = added.withColumn(loaded_at, F.lit(load_ts.isoformat(sep=" ")).cast("timestamp_ntz"))
     floor = F.lit(floor) if isinstance(floor, int) else floor
     start = F.greatest(max_key(existing, surrogate), floor)
@@ -170,7 +173,7 @@ def increment(
     after the largest one outside ``protected`` lineage, or after ``identity_floor``.
     A key repeated in the batch is added once, at its first place in ``key_order``.
     """
-    new = keep_first(unseen(batch, existing, keys, null_safe=True), keys, key_order)
+    new = keep_first_known(unseen(batch, existing, keys, null_safe=True), keys, key_order)
     new = append_keys(new, existing, surrogate, key_order)
     if identity:
         largest = max_key(existing, surrogate)

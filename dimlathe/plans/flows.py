@@ -156,7 +156,8 @@ def backfill(
 ) -> None:
     """Merge landed JSON into Silver. Rows of the wide file always win.
 
-    Results touch only the years of the batch. Laps and pit stops replace earlier interface rows;
+    Rows whose natural key is incomplete, because a lookup missed, are set aside in the lake and not
+    merged. Results touch only the years of the batch. Laps and pit stops replace earlier interface rows;
     ``rekey`` numbers those two tables anew, otherwise stored keys stay.
     """
     for name in (n for n in ORDER if n in set(names)):
@@ -168,6 +169,8 @@ def backfill(
             batch = keys.dense_key(batch, spec.identity, resource.order, start=base)
         batch = shape.stamp_lineage(batch, racing.API_SOURCE, load_ts)
         existing = lake.read(spec)
+        if spec.identity:
+            lake.set_aside(spec, keys.complete_keys(batch, spec.natural, complete=False))
         if spec.identity and spec.partition:
             years = batch.select(spec.partition).distinct()
             touched = existing.join(years, spec.partition, "left_semi").select(*spec.columns)

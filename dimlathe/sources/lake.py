@@ -70,3 +70,7 @@ class Lake:
             df.select(*spec.columns).write.mode("append").parquet(versions[-1])
         else:
             files.append_partitions(df.select(*spec.columns), versions[-1], spec.partition)
+
+    def set_aside(self, spec: TableSpec, df: DataFrame) -> None:
+        """Keep rows that cannot be merged, for repair and a later load."""
+        df.write.mode("append").parquet(f"{self.root}/quarantine/{spec.name}")
