@@ -61,10 +61,11 @@ def _balanced(df: DataFrame, partition: str) -> DataFrame:
     return with_partition_value(df, partition).hint("rebalance", F.col(partition))
 
 
-def write_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Replace exactly the partitions that ``df`` has rows for; the others stay."""
+def write_partitions(df: DataFrame, path: str, partition: str, whole: bool = False) -> None:
+    """Replace exactly the partitions that ``df`` has rows for; the others stay. ``whole`` replaces all."""
     writer = _balanced(df, partition).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    mode = "static" if whole else "dynamic"
+    writer.option("partitionOverwriteMode", mode).partitionBy(partition).parquet(path)
 
 
 def append_partitions(df: DataFrame, path: str, partition: str) -> None:

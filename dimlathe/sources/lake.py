@@ -50,7 +50,7 @@ class Lake:
         if spec.partition is None:
             df.write.mode("overwrite").parquet(path)
         else:
-            files.write_partitions(df, path, spec.partition)
+            files.write_partitions(df, path, spec.partition, whole=True)
 
     def rewrite_partitions(self, spec: TableSpec, df: DataFrame) -> None:
         """Replace the partitions that ``df`` has rows for. The rows are first written aside, because
