@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import types as T
-
 from dimlathe.registry import TableSpec
 
 # Lineage names, and the bases of the id ranges given to rows from the interface.
@@ -261,10 +259,6 @@ CSV_TABLES = {
 }
 
 
-def _record(fields: str) -> T.StructType:
-    return T.StructType.fromDDL(fields)
-
-
 @dataclass(frozen=True)
 class Resource:
     """One JSON resource: where its records are and which fields they give.
@@ -274,7 +268,7 @@ class Resource:
     """
 
     spec: TableSpec
-    schema: T.StructType
+    schema: str
     levels: tuple[tuple[str, dict[str, str]], ...]
     order: tuple[str, ...]
     first_only: bool = False
@@ -282,10 +276,8 @@ class Resource:
     zero: tuple[str, ...] = field(default=())
 
 
-def _envelope(table: str, array: str, record: str) -> T.StructType:
-    return _record(
-        f"MRData struct<total: string, limit: string, offset: string, {table}: struct<{array}: array<struct<{record}>>>>"
-    )
+def _envelope(table: str, array: str, record: str) -> str:
+    return f"MRData struct<total: string, limit: string, offset: string, {table}: struct<{array}: array<struct<{record}>>>>"
 
 
 # Field names of the JSON resources.

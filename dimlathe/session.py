@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Plans here have many column expressions; not recording each one's call site spares driver time.
+    "spark.sql.dataFrameQueryContext.enabled": "false",
 }
 
 _local_roots: dict[str, str] = {}

@@ -17,7 +17,7 @@ def envelope_schema(root: str, table: str, array: str, record: T.StructType) ->
     return T.StructType([T.StructField(root, T.StructType([*page, T.StructField(table, inner)]))])
 
 
-def read_envelopes(spark: SparkSession, path: str, schema: T.StructType, one_per_line: bool = True) -> DataFrame:
+def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str, one_per_line: bool = True) -> DataFrame:
     """Landed pages. A page per line splits well; ``one_per_line=False`` reads one page per file."""
     return spark.read.schema(schema).option("multiLine", not one_per_line).json(path)
 

@@ -35,6 +35,8 @@ class Warehouse:
         return self.spark.catalog.tableExists(table)
 
     def read(self, table: str) -> DataFrame:
+        """The table with its present files; streams write from sessions of their own."""
+        self.spark.catalog.refreshTable(table)
         return self.spark.table(table)
 
     def keys(self, table: str, key: Sequence[str], like: DataFrame) -> DataFrame:
@@ -54,7 +56,6 @@ class Warehouse:
         if self.exists(table):
             if [(f.name, f.dataType) for f in self.read(table).schema] == shape:
                 self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
-                self.spark.catalog.refreshTable(table)
                 return
             self.spark.sql(f"DROP TABLE {table}")
         self._point(table, path, df.schema)
