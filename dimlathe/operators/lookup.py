@@ -16,11 +16,6 @@ from pyspark.sql import functions as F
 from dimlathe.operators.keys import latest_per_key
 
 
-def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool) -> Column:
-    tests = [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in pairs]
-    return reduce(lambda x, y: x & y, tests)
-
-
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -39,9 +34,8 @@ def lookup(
         *(F.col(b).alias(f"__k{i}") for i, b in enumerate(on.values())),
         *(F.col(a).alias(b) for a, b in take.items()),
     )
-    pairs = [(a, f"__k{i}") for i, a in enumerate(on)]
-    joined = fact.join(side, _match(fact, side, pairs, null_safe=False), "left")
-    return joined.drop(*(k for _, k in pairs))
+    match = reduce(lambda x, y: x & y, (fact[a] == side[f"__k{i}"] for i, a in enumerate(on)))
+    return fact.join(side, match, "left").drop(*(f"__k{i}" for i in range(len(on))))
 
 
 def lookup_by_date(
@@ -66,27 +60,28 @@ def lookup_via_bridge(
     return lookup(fact, bridge, {k: k for k in on}, {take: out or take}, last_by=last_by)
 
 
-def seen_keys(
-    batch: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False
-) -> DataFrame:
-    """The batch's keys that the existing table already holds.
-
-    The large table is reduced by a semi join with the small batch's keys, so it is scanned for its
-    key columns only and not shuffled while the batch fits under the broadcast threshold.
-    """
-    wanted = batch.select(*on).distinct().alias("wanted")
-    held = existing.select(*on)
-    return held.join(wanted, _match(held, wanted, [(k, k) for k in on], null_safe), "left_semi").distinct()
+def _keyed(df: DataFrame, on: Sequence[str], null_safe: bool) -> list[Column]:
+    """Join key columns. One struct compares field by field with NULL equal to NULL, and, unlike
+    ``<=>`` per column, lets the aggregation and the joins on it share one shuffle."""
+    if null_safe:
+        return [F.struct(*(F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(on))).alias("__k0")]
+    return [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(on)]
 
 
 def unseen(
     batch: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
-    """Batch rows whose key the existing table does not hold. ``null_safe`` lets NULL equal NULL."""
-    seen = seen_keys(batch, existing, on, null_safe)
-    seen = seen.select(*(F.col(k).alias(f"__s{i}") for i, k in enumerate(on)))
-    pairs = [(k, f"__s{i}") for i, k in enumerate(on)]
-    return batch.join(seen, _match(batch, seen, pairs, null_safe), "left_anti")
+    """Batch rows whose key the existing table does not hold. ``null_safe`` lets NULL equal NULL.
+
+    The large table is first reduced to the batch's keys by a semi join: it is scanned for its key
+    columns only, and not shuffled while the batch's keys fit under the broadcast threshold.
+    """
+    wanted = batch.select(*_keyed(batch, on, null_safe)).distinct()
+    keys = wanted.columns
+    held = existing.select(*_keyed(existing, on, null_safe))
+    seen = held.join(wanted, keys, "left_semi").distinct()
+    marked = batch.select("*", *_keyed(batch, on, null_safe))
+    return marked.join(seen, keys, "left_anti").drop(*keys)
 
 
 def miss_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
