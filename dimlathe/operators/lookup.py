@@ -1,8 +1,10 @@
 """Key lookups between facts and dimensions, and row-level membership tests.
 
 No side is force-broadcast: Spark broadcasts a side when its statistics, or the size measured at run
-time, are under ``spark.sql.autoBroadcastJoinThreshold``; otherwise it sort-merges and splits hot keys
-of the fact side (adaptive skew join supports inner, left and anti joins on that side).
+time, are under ``spark.sql.autoBroadcastJoinThreshold``. Otherwise it sort-merges, and adaptive
+execution splits hot keys of the fact side. It does so only where both inputs come straight from a
+shuffle made for the join; an aggregated side would bring its own partitioning and prevent that.
+Joins to aggregated sides here compare with ``<=>``, which asks for a new shuffle of that (small) side.
 """
 
 from __future__ import annotations
@@ -13,7 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimlathe.operators.keys import latest_per_key
+from dimlathe.operators.keys import complete_keys, latest_per_key
+
+
+def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], fresh: bool) -> Column:
+    """Equality of column pairs; ``fresh`` keeps the join off the partitioning of an aggregated side.
+    That form lets NULL match NULL, so callers drop NULL keys where it must not."""
+    return reduce(lambda x, y: x & y, (left[a].eqNullSafe(right[b]) if fresh else left[a] == right[b] for a, b in pairs))
 
 
 def lookup(
@@ -29,13 +37,13 @@ def lookup(
     without it the dimension's keys are declared unique, which saves an aggregation.
     """
     if last_by is not None:
-        dim = latest_per_key(dim, list(on.values()), list(take), last_by)
+        dim = latest_per_key(complete_keys(dim, list(on.values())), list(on.values()), list(take), last_by)
     side = dim.select(
         *(F.col(b).alias(f"__k{i}") for i, b in enumerate(on.values())),
         *(F.col(a).alias(b) for a, b in take.items()),
     )
-    match = reduce(lambda x, y: x & y, (fact[a] == side[f"__k{i}"] for i, a in enumerate(on)))
-    return fact.join(side, match, "left").drop(*(f"__k{i}" for i in range(len(on))))
+    pairs = [(a, f"__k{i}") for i, a in enumerate(on)]
+    return fact.join(side, _match(fact, side, pairs, fresh=last_by is not None), "left").drop(*(k for _, k in pairs))
 
 
 def lookup_by_date(
@@ -60,14 +68,6 @@ def lookup_via_bridge(
     return lookup(fact, bridge, {k: k for k in on}, {take: out or take}, last_by=last_by)
 
 
-def _keyed(df: DataFrame, on: Sequence[str], null_safe: bool) -> list[Column]:
-    """Join key columns. One struct compares field by field with NULL equal to NULL, and, unlike
-    ``<=>`` per column, lets the aggregation and the joins on it share one shuffle."""
-    if null_safe:
-        return [F.struct(*(F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(on))).alias("__k0")]
-    return [F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(on)]
-
-
 def unseen(
     batch: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False
 ) -> DataFrame:
@@ -76,12 +76,12 @@ def unseen(
     The large table is first reduced to the batch's keys by a semi join: it is scanned for its key
     columns only, and not shuffled while the batch's keys fit under the broadcast threshold.
     """
-    wanted = batch.select(*_keyed(batch, on, null_safe)).distinct()
-    keys = wanted.columns
-    held = existing.select(*_keyed(existing, on, null_safe))
-    seen = held.join(wanted, keys, "left_semi").distinct()
-    marked = batch.select("*", *_keyed(batch, on, null_safe))
-    return marked.join(seen, keys, "left_anti").drop(*keys)
+    wanted = batch.select(*on) if null_safe else complete_keys(batch.select(*on), on)
+    wanted = wanted.distinct().toDF(*(f"__w{i}" for i in range(len(on))))
+    held = existing.select(*on)
+    found = held.join(wanted, _match(held, wanted, [(k, f"__w{i}") for i, k in enumerate(on)], fresh=True), "left_semi")
+    seen = found.distinct().toDF(*(f"__s{i}" for i in range(len(on))))
+    return batch.join(seen, _match(batch, seen, [(k, f"__s{i}") for i, k in enumerate(on)], fresh=True), "left_anti")
 
 
 def miss_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
