@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from dimlathe.catalogue.registry import LOAD_TS, Tables, query
 from dimlathe.functions.calendar import calendar
+from dimlathe.functions.coerce import strict_integer
 from dimlathe.operators import keys, shape
 from dimlathe.operators.lookup import lookup, lookup_time_key
 from dimlathe.registry import TableSpec
@@ -88,7 +89,9 @@ def order_fact(t: Tables, buyers: DataFrame | None = None) -> DataFrame:
             "o_orderstatus": "status",
             "o_totalprice": "price",
         },
-    ).withColumn("year", F.year("ordered_at").cast("bigint"))
+    ).withColumns(
+        {"year": F.year("ordered_at").cast("bigint"), "order_id": strict_integer("order_id", "order_id")}
+    )
     keyed = keys.dense_key(named, "order_key", ["ordered_at", "order_id"])
     keyed = lookup(keyed, buyers, {"customer_id": "customer_id"}, {"customer_key": "customer_key"})
     keyed = lookup_time_key(keyed, "ordered_at", calendar(t.spark, *CALENDAR))

@@ -53,6 +53,14 @@ def to_integer_or_zero(c: Column | str) -> Column:
     return F.coalesce(to_number(c).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def strict_integer(c: Column | str, name: str) -> Column:
+    """An id that must be there: a NULL or a value that is no number fails the load, naming the column."""
+    c = _col(c)
+    whole = c.try_cast("bigint")
+    missing = F.raise_error(F.concat(F.lit(f"{name} must be an integer, found "), F.coalesce(c.cast("string"), F.lit("NULL"))))
+    return F.when(whole.isNotNull(), whole).otherwise(missing.cast("bigint"))
+
+
 def seconds_to_millis(seconds: Column | str) -> Column:
     """Double seconds to whole milliseconds, halves to the even neighbour."""
     return F.rint(_col(seconds) * 1000).try_cast("bigint")

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimlathe.functions.calendar import calendar
-from dimlathe.functions.coerce import duration_to_millis, seconds_to_millis, to_integer_or_zero, typed
+from dimlathe.functions.coerce import (
+    duration_to_millis,
+    seconds_to_millis,
+    strict_integer,
+    to_integer_or_zero,
+    typed,
+)
 from dimlathe.operators import keys, lookup, merge, quality, shape
 from dimlathe.plans import racing
 from dimlathe.registry import TableSpec
@@ -28,18 +34,20 @@ ORDER = ("driver", "constructor", "circuit", "race", "race_results", "laps", "pi
 # ---------------------------------------------------------------- wide CSV to Silver
 
 
-def bronze(spark: SparkSession, csv: str) -> DataFrame:
+def bronze(spark: SparkSession, csv: str, multi_line: bool = False) -> DataFrame:
     """The wide file with mostly-numeric text columns as numbers, written once to the shared folder."""
-    cells = files.read_csv_as_text(spark, csv, ingest_order=True)
+    cells = files.read_csv_as_text(spark, csv, ingest_order=True, multi_line=multi_line)
     table, _ = shape.infer_numeric(cells, always=("alt",))
     return materialize(table, "bronze")
 
 
-def _typed_rows(rows: DataFrame, spec: TableSpec, zero: Iterable[str]) -> DataFrame:
+def _typed_rows(rows: DataFrame, spec: TableSpec, zero: Iterable[str], required: Iterable[str] = ()) -> DataFrame:
     """Declared types; ids and the like that are no table columns become integers."""
     columns = []
     for f in rows.schema:
-        if f.name in spec.columns and f.name in zero and isinstance(f.dataType, T.StringType):
+        if f.name in required:
+            column = strict_integer(f.name, f.name)
+        elif f.name in spec.columns and f.name in zero and isinstance(f.dataType, T.StringType):
             column = to_integer_or_zero(f.name)
         elif f.name in spec.columns:
             column = typed(f.name, f.dataType, spec.columns[f.name])
@@ -59,7 +67,7 @@ def cut_csv(wide: DataFrame, table: racing.CsvTable) -> DataFrame:
         rows = keys.keep_first(named, [table.once_per], [files.INGEST]).drop(files.INGEST)
     else:
         rows = shape.pick(wide, table.names).distinct()
-    rows = _typed_rows(rows, table.spec, table.zero)
+    rows = _typed_rows(rows, table.spec, table.zero, table.required)
     total = [*table.order, *(c for c in rows.columns if c not in table.order)]
     return keys.dense_key(rows, table.spec.surrogate, total)
 
@@ -95,8 +103,14 @@ def load_csv(lake: Lake, csv: str, load_ts: datetime, first_day: str | None = No
 # ---------------------------------------------------------------- landed JSON
 
 
-def flatten(spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool = False) -> DataFrame:
-    """Typed rows of one JSON resource, with natural keys and no ids yet."""
+def flatten(
+    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool = False, exact_times: bool = False
+) -> DataFrame:
+    """Typed rows of one JSON resource, with natural keys and no ids yet.
+
+    ``exact_times`` computes lap times with decimals and reads pit stops of a minute or more; without
+    it a lap time may lose a millisecond to truncation and such a stop has no duration.
+    """
     spec = resource.spec
     pages = envelopes.read_envelopes(spark, path, resource.schema, one_per_line)
     if resource.once_per:
@@ -109,7 +123,10 @@ def flatten(spark: SparkSession, path: str, resource: racing.Resource, one_per_l
     if "constructors" in rows.columns:
         extra["constructor_ref"] = envelopes.first_element(F.col("constructors"))["constructorId"]
     if spec.name == "laps":
-        extra["lap_milliseconds"] = duration_to_millis("lap_minutes")
+        extra["lap_milliseconds"] = duration_to_millis("lap_minutes", exact=exact_times)
+    if spec.name == "pitstops" and exact_times:
+        millis = duration_to_millis("pitlane_duration_seconds", exact=True)
+        extra["pitlane_duration_seconds"] = (millis / 1000).cast("string")
     rows = _typed_rows(rows.withColumns(extra).drop("constructors"), spec, resource.zero)
     if "pitlane_duration_seconds" in rows.columns:
         rows = rows.withColumn("pitlane_duration_milliseconds", seconds_to_millis("pitlane_duration_seconds"))
@@ -139,9 +156,9 @@ def resolve_api(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
     return rows
 
 
-def _batch(lake: Lake, landing: str, name: str, one_per_line: bool) -> DataFrame:
+def _batch(lake: Lake, landing: str, name: str, one_per_line: bool, exact_times: bool) -> DataFrame:
     resource = racing.RESOURCES[name]
-    rows = flatten(lake.spark, f"{landing}/{name}", resource, one_per_line)
+    rows = flatten(lake.spark, f"{landing}/{name}", resource, one_per_line, exact_times)
     return resolve_api(rows, resource.spec, lake) if resource.spec.foreign else rows
 
 
@@ -152,7 +169,7 @@ def foreign_key_report(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def backfill(
     lake: Lake, landing: str, load_ts: datetime, names: Iterable[str] = ORDER, rekey: bool = False,
-    one_per_line: bool = False,
+    one_per_line: bool = False, exact_times: bool = False,
 ) -> None:
     """Merge landed JSON into Silver. Rows of the wide file always win.
 
@@ -163,7 +180,7 @@ def backfill(
     for name in (n for n in ORDER if n in set(names)):
         resource = racing.RESOURCES[name]
         spec = resource.spec
-        batch = _batch(lake, landing, name, one_per_line)
+        batch = _batch(lake, landing, name, one_per_line, exact_times)
         if spec.identity:
             base = racing.ID_BASE.get(name, racing.FACT_ID_BASE)
             batch = keys.dense_key(batch, spec.identity, resource.order, start=base)
@@ -197,14 +214,14 @@ def backfill(
 
 def weekly(
     lake: Lake, landing: str, topic_root: str, load_ts: datetime, names: Iterable[str] = ORDER,
-    servers: str | None = None, one_per_line: bool = False,
+    servers: str | None = None, one_per_line: bool = False, exact_times: bool = False,
 ) -> dict[str, int]:
     """Add the rows not seen before to Silver and publish them; returns the published rows per table."""
     published = {}
     for name in (n for n in ORDER if n in set(names)):
         resource = racing.RESOURCES[name]
         spec = resource.spec
-        batch = _batch(lake, landing, name, one_per_line)
+        batch = _batch(lake, landing, name, one_per_line, exact_times)
         order = [c for c in resource.order if c in batch.columns]
         new = merge.increment(
             lake.read(spec), batch, keys=spec.natural, surrogate=spec.surrogate, key_order=order,

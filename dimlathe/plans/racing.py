@@ -156,7 +156,8 @@ class CsvTable:
     """How one table is cut out of the wide file.
 
     ``once_per`` keeps the first row per id; without it whole rows are made distinct. ``order``
-    numbers the rows; ``zero`` lists counts that are 0 where the cell holds no number.
+    numbers the rows; ``zero`` lists counts that are 0 where the cell holds no number; a ``required``
+    id that is missing fails the load.
     """
 
     spec: TableSpec
@@ -164,6 +165,7 @@ class CsvTable:
     order: tuple[str, ...]
     once_per: str | None = None
     zero: tuple[str, ...] = ()
+    required: tuple[str, ...] = ()
 
 
 # Column names of the wide file, per table, with their names here.
@@ -195,7 +197,7 @@ CSV_TABLES = {
                 "location": "circuit_city", "country": "circuit_country", "lat": "circuit_latitude",
                 "lng": "circuit_longtitude", "alt": "circuit_altitude", "url_y": "circuit_url",
             },
-            order=("circuit_id",), once_per="circuit_id",
+            order=("circuit_id",), once_per="circuit_id", required=("circuit_id",),
         ),
         CsvTable(
             RACE,
@@ -220,6 +222,7 @@ CSV_TABLES = {
             },
             order=("result_id",), once_per="result_id",
             zero=("driver_number", "grid", "position_order", "number_of_laps"),
+            required=("result_id", "race_id", "driver_id", "constructor_id", "year"),
         ),
         CsvTable(
             LAPS,
@@ -237,6 +240,7 @@ CSV_TABLES = {
                 "milliseconds_pitstops": "pitlane_duration_milliseconds",
             },
             order=("race_id", "driver_id", "stop"), zero=("stop", "lap", "pitlane_duration_milliseconds"),
+            required=("race_id", "driver_id"),
         ),
         CsvTable(
             DRIVER_STANDINGS,

@@ -14,14 +14,16 @@ INGEST = "__ingest"
 
 
 def read_csv_as_text(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_order: bool = False
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_order: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header, every cell as text. Types are applied afterwards, so a bad cell is a NULL and
     not a failed load. Without ``columns`` the names come from the header line.
 
-    ``ingest_order`` adds each row's place (file, split, row of the split) for keep-first.
+    ``ingest_order`` adds each row's place (file, split, row of the split) for keep-first. Cells with
+    line breaks need ``multi_line``, which reads each file in one task.
     """
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", False)
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     cells = reader.csv(path)

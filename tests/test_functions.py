@@ -91,3 +91,9 @@ def test_text_helpers(rows):
     assert values(df, text.contains_ci(F.col("a"), "a.n")) == [False, False]
     assert values(df, text.composite_text(F.lit(2024), F.lit(7), pad_last=2)) == ["2024_07"] * 2
     assert values(df, text.composite_text(F.lit(2024), F.lit(123), pad_last=2)) == ["2024_123"] * 2
+
+
+def test_strict_integer_names_the_column(texts):
+    assert values(texts("5", " 7 "), coerce.strict_integer("c", "race_id")) == [5, 7]
+    with pytest.raises(Exception, match="race_id must be an integer, found NULL"):
+        values(texts("5", None), coerce.strict_integer("c", "race_id"))

@@ -221,6 +221,19 @@ def test_backfill_facts(world):
     ]
 
 
+def test_exact_times(world):
+    spark, landing = world["spark"], world["root"] + "/exact"
+    land(landing, "pitstops", races_page("2015", "1", PitStops=[
+        {"driverId": "hamilton", "stop": "1", "lap": "1", "time": "17:00:00", "duration": "1:02.100"}]))
+    stops = racing.RESOURCES["pitstops"]
+    plain = flows.flatten(spark, f"{landing}/pitstops", stops).first()
+    assert (plain.pitlane_duration_seconds, plain.pitlane_duration_milliseconds) == (None, None)
+    exact = flows.flatten(spark, f"{landing}/pitstops", stops, exact_times=True).first()
+    assert (exact.pitlane_duration_seconds, exact.pitlane_duration_milliseconds) == (62.1, 62100)
+    laps = flows.flatten(spark, world["root"] + "/api/laps", racing.RESOURCES["laps"], exact_times=True)
+    assert {r.lap_milliseconds for r in laps.collect()} == {87452, 62026}
+
+
 def test_backfill_again_changes_nothing_but_replaced_rows(world):
     for name, table in world["after_repeat"].items():
         before = world["after_api"][name]
