@@ -89,12 +89,6 @@ def complete_keys(df: DataFrame, keys: Sequence[str], complete: bool = True) ->
     return df.where(~has_null if complete else has_null)
 
 
-def keep_first_known(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
-    """``keep_first`` among complete keys; rows with a NULL key part cannot be told apart and all stay."""
-    first = keep_first(complete_keys(df, keys), keys, order_by)
-    return first.unionByName(complete_keys(df, keys, complete=False))
-
-
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], values: Sequence[str], order_by: Sequence[str]
 ) -> DataFrame:

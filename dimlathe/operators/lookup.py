@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimlathe.operators.keys import complete_keys, latest_per_key
+from dimlathe.operators.keys import complete_keys, keep_first, latest_per_key
 
 
 def _match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], fresh: bool) -> Column:
@@ -84,6 +84,21 @@ def unseen(
     return batch.join(seen, _match(batch, seen, [(k, f"__s{i}") for i, k in enumerate(on)], fresh=True), "left_anti")
 
 
+def new_rows(
+    batch: DataFrame, existing: DataFrame, on: Sequence[str], first_by: Sequence[str | Column]
+) -> DataFrame:
+    """The batch rows to insert: unseen keys, each key once, at its first place in ``first_by``.
+
+    A NULL key part equals a stored NULL. Rows with an incomplete key cannot be told apart, so all of
+    them stay; they are compared only with the stored rows whose key is incomplete too.
+    """
+    whole = unseen(complete_keys(batch, on), existing, on)
+    partial = unseen(
+        complete_keys(batch, on, complete=False), complete_keys(existing, on, complete=False), on, null_safe=True
+    )
+    return keep_first(whole, on, first_by).unionByName(partial)
+
+
 def miss_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: how many rows have each foreign key unresolved."""
     return df.agg(*(F.count_if(F.col(k).isNull()).alias(k) for k in keys))

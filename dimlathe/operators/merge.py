@@ -15,11 +15,10 @@ from dimlathe.operators.keys import (
     complete_keys,
     dense_key,
     keep_first,
-    keep_first_known,
     max_id_outside,
     max_key,
 )
-from dimlathe.operators.lookup import unseen
+from dimlathe.operators.lookup import new_rows, unseen
 from dimlathe.operators.shape import align, select_existing, stamp_lineage
 from dimlathe.registry import TableSpec
 
@@ -173,7 +172,7 @@ def increment(
     after the largest one outside ``protected`` lineage, or after ``identity_floor``.
     A key repeated in the batch is added once, at its first place in ``key_order``.
     """
-    new = keep_first_known(unseen(batch, existing, keys, null_safe=True), keys, key_order)
+    new = new_rows(batch, existing, keys, key_order)
     new = append_keys(new, existing, surrogate, key_order)
     if identity:
         largest = max_key(existing, surrogate)

@@ -159,7 +159,9 @@ def resolve_api(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
 def _batch(lake: Lake, landing: str, name: str, one_per_line: bool, exact_times: bool) -> DataFrame:
     resource = racing.RESOURCES[name]
     rows = flatten(lake.spark, f"{landing}/{name}", resource, one_per_line, exact_times)
-    return resolve_api(rows, resource.spec, lake) if resource.spec.foreign else rows
+    rows = resolve_api(rows, resource.spec, lake) if resource.spec.foreign else rows
+    # Merges read the batch several times; parse and look up once.
+    return materialize(rows, f"batch-{name}")
 
 
 def foreign_key_report(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -189,10 +191,8 @@ def backfill(
         if spec.identity:
             lake.set_aside(spec, keys.complete_keys(batch, spec.natural, complete=False))
         if spec.identity and spec.partition:
-            years = batch.select(spec.partition).distinct()
-            touched = existing.join(years, spec.partition, "left_semi").select(*spec.columns)
             merged = merge.upsert_table(
-                touched, batch, spec, protected=racing.CSV_SOURCE, key_order=[spec.identity], load_ts=load_ts,
+                lake.read_touched(spec, batch), batch, spec, protected=racing.CSV_SOURCE, key_order=[spec.identity], load_ts=load_ts,
                 floor=keys.max_key(existing, spec.surrogate),
             )
             lake.rewrite_partitions(spec, merged)

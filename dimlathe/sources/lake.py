@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dimlathe.registry import TableSpec
 from dimlathe.session import file_system, materialize
@@ -41,6 +42,12 @@ class Lake:
         rows = files.read_partitions(self.spark, versions[-1], spec.partition, first, last, spec.schema())
         return rows.select(*spec.columns)
 
+    def read_touched(self, spec: TableSpec, batch: DataFrame) -> DataFrame:
+        """The partitions that ``batch`` has rows for. Their values, one per folder, go into the plan as
+        literals, so all other partitions are pruned before the scan."""
+        values = [r[0] for r in files.with_partition_value(batch, spec.partition).select(spec.partition).distinct().collect()]
+        return self.read(spec).where(F.col(spec.partition).isin(values))
+
     def overwrite(self, spec: TableSpec, df: DataFrame) -> None:
         """Write a new version; ``df`` may derive from the present one."""
         versions = self._versions(spec)

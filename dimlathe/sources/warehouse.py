@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimlathe.operators.keys import keep_first_known
-from dimlathe.operators.lookup import unseen
+from dimlathe.operators.lookup import new_rows
 
 
 class Warehouse:
@@ -73,8 +72,7 @@ class Warehouse:
 
         Returns the number of inserted rows, counted while they are written.
         """
-        new = unseen(df, self.keys(table, key, df), key, null_safe=True)
-        new = keep_first_known(new, key, first_by or [c for c in df.columns if c not in key] or list(key))
+        new = new_rows(df, self.keys(table, key, df), key, first_by or [c for c in df.columns if c not in key] or list(key))
         counted = Observation()
         self.append(new.observe(counted, F.count(F.lit(1)).alias("rows")), table)
         return counted.get["rows"]

@@ -9,8 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimlathe.operators.keys import keep_first_known
-from dimlathe.operators.lookup import unseen
+from dimlathe.operators.lookup import new_rows
 from dimlathe.operators.shape import conform
 from dimlathe.registry import TableSpec
 from dimlathe.session import path_exists
@@ -49,7 +48,7 @@ def insert_batch(
     batch = batch.persist()
     try:
         others = _stored(spark, path, batch.schema).where(F.col(BATCH) != batch_name)
-        new = keep_first_known(unseen(batch, others, key, null_safe=True), key, first_by)
+        new = new_rows(batch, others, key, first_by)
         counted = Observation()
         new = new.observe(counted, F.count(F.lit(1)).alias("rows"))
         writer = new.withColumn(BATCH, F.lit(batch_name)).write.mode("overwrite")

@@ -50,8 +50,6 @@ def test_first_and_last_per_key(rows):
     assert sorted(r.v for r in keys.keep_first(df, ["k"], ["at"]).collect()) == ["a", "x"]
     last = keys.latest_per_key(df, ["k"], ["v"], ["at"]).collect()
     assert sorted(r.v for r in last) == ["c", "y"]
-    known = keys.keep_first_known(df, ["k"], ["at"]).collect()
-    assert sorted(r.v for r in known) == ["a", "x", "y"]
 
 
 def test_keep_first_cuts_rows_before_the_shuffle(rows):

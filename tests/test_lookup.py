@@ -51,6 +51,14 @@ def test_unseen_keeps_repeated_batch_rows(rows):
     assert sorted(map(tuple, got.collect())) == [(2, 2), (2, 3)]
 
 
+def test_new_rows_take_each_known_key_once_and_all_incomplete_ones(rows):
+    ddl = "a int, b int, v string"
+    batch = rows(ddl, (1, 1, "seen"), (2, 1, "second"), (2, 1, "first"), (3, None, "x"), (3, None, "y"), (4, None, "z"))
+    stored = rows("a int, b int", (1, 1), (4, None), (3, 3))
+    got = lookup.new_rows(batch, stored, ["a", "b"], ["v"])
+    assert sorted(r.v for r in got.collect()) == ["first", "x", "y"]
+
+
 def test_misses_and_orphans(rows):
     fact = rows("k int, ref string", (1, "a"), (None, "b"), (None, "b"), (9, "c"))
     assert lookup.miss_counts(fact, ["k"]).first().k == 2

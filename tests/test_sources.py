@@ -53,6 +53,9 @@ def test_lake_versions(rows, spark, folder):
     lake.rewrite_partitions(SPEC, lake.read(SPEC, 2024, 2024).withColumn("v", F.col("v") * 10))
     lake.append(SPEC, rows("k bigint, v bigint, year bigint", (3, 3, 2024)))
     assert sorted(map(tuple, lake.read(SPEC).collect())) == [(1, 2, 2023), (2, 30, 2024), (3, 3, 2024)]
+    touched = lake.read_touched(SPEC, rows("year bigint", (2024,), (None,), (2024,)))
+    assert {r.k for r in touched.collect()} == {2, 3}
+    assert "PartitionFilters: [isnotnull(year" in touched._jdf.queryExecution().executedPlan().toString()
     os.makedirs(f"{folder}/facts/t/v-00000009")
     assert lake.read(SPEC).count() == 3
 
