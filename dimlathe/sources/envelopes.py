@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimlathe.sources.files import INGEST, with_ingest_order
+
 
 def envelope_schema(root: str, table: str, array: str, record: T.StructType) -> T.StructType:
     """``root.table.array[]`` with the page fields next to the table object; every leaf is text."""
@@ -18,22 +20,23 @@ def envelope_schema(root: str, table: str, array: str, record: T.StructType) ->
 
 
 def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str, one_per_line: bool = True) -> DataFrame:
-    """Landed pages. A page per line splits well; ``one_per_line=False`` reads one page per file."""
-    return spark.read.schema(schema).option("multiLine", not one_per_line).json(path)
+    """Landed pages with their ingest order. A page per line splits well; ``one_per_line=False`` reads
+    one page per file."""
+    return with_ingest_order(spark.read.schema(schema).option("multiLine", not one_per_line).json(path))
 
 
 def records(pages: DataFrame, array_path: str, fields: Mapping[str, str] | None = None, position: str | None = None) -> DataFrame:
     """One row per record of the array at ``array_path``.
 
     ``fields`` maps result column to a path inside the record; a path through an absent object gives
-    NULL. ``position`` adds the page's file name and the record's place, an ingest order for keep-first.
+    NULL. ``position`` adds the page's and the record's place, an ingest order for keep-first.
     """
     if position is None:
         rows = pages.select(F.explode(array_path).alias("__r"))
         extra: list[Column] = []
     else:
-        rows = pages.select(F.input_file_name().alias("__file"), F.posexplode(array_path).alias("__at", "__r"))
-        extra = [F.struct("__file", "__at").alias(position)]
+        rows = pages.select(INGEST, F.posexplode(array_path).alias("__at", "__r"))
+        extra = [F.struct(INGEST, "__at").alias(position)]
     if fields is None:
         return rows.select("__r.*", *extra)
     return rows.select(*(F.col(f"__r.{p}").alias(c) for c, p in fields.items()), *extra)

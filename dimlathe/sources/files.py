@@ -13,6 +13,12 @@ from pyspark.sql import types as T
 INGEST = "__ingest"
 
 
+def with_ingest_order(rows: DataFrame) -> DataFrame:
+    """Add each row's place in the files just read: file, split, row of the split."""
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
+    return rows.withColumn(INGEST, place)
+
+
 def read_csv_as_text(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, ingest_order: bool = False,
     multi_line: bool = False,
@@ -20,17 +26,14 @@ def read_csv_as_text(
     """CSV with a header, every cell as text. Types are applied afterwards, so a bad cell is a NULL and
     not a failed load. Without ``columns`` the names come from the header line.
 
-    ``ingest_order`` adds each row's place (file, split, row of the split) for keep-first. Cells with
+    ``ingest_order`` adds each row's place for keep-first. Cells with
     line breaks need ``multi_line``, which reads each file in one task.
     """
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     if columns is not None:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
     cells = reader.csv(path)
-    if ingest_order:
-        place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row"))
-        cells = cells.withColumn(INGEST, place)
-    return cells
+    return with_ingest_order(cells) if ingest_order else cells
 
 
 def write_csv(df: DataFrame, path: str) -> None:

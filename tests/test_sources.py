@@ -87,6 +87,15 @@ def test_json_paths(spark, folder):
     assert tuple(envelopes.page_completeness(pages, "MRData", "MRData.T.Races").first()) == (2, 2, True)
 
 
+def test_record_order_over_pages_of_one_file(spark, folder):
+    with open(f"{folder}/pages.json", "w") as out:
+        for page in range(20):
+            out.write(json.dumps({"M": {"T": {"Xs": [{"a": f"{page}-{i}"} for i in range(3)]}}}) + "\n")
+    schema = envelopes.envelope_schema("M", "T", "Xs", T.StructType.fromDDL("a string"))
+    found = envelopes.records(envelopes.read_envelopes(spark, folder, schema), "M.T.Xs", position="at")
+    assert [r.a for r in found.orderBy("at").collect()] == [f"{page}-{i}" for page in range(20) for i in range(3)]
+
+
 def test_incomplete_pages_are_noticed(spark, folder):
     with open(f"{folder}/page.json", "w") as out:
         out.write('{"MRData": {"total": "3", "T": {"Xs": [{"a": "1"}]}}}\n{"MRData": {"total": "3", "T": {}}}\n')
