@@ -256,7 +256,7 @@ def build_gold(lake: Lake, house: Warehouse, first_year: int = 2012, last_year:
         house.recreate_schema(area)
     for spec in racing.TABLES.values():
         rows = lake.read(spec, first_year, last_year) if spec.partition else lake.read(spec)
-        house.replace(shape.conform(rows, spec), spec.qualified)
+        house.replace(shape.conform(rows, spec), spec.qualified, spec.partition)
 
 
 def consume_topics(

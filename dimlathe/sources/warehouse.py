@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimlathe.operators.lookup import new_rows
+from dimlathe.sources import files
 
 
 class Warehouse:
@@ -44,20 +45,28 @@ class Warehouse:
             return self.read(table).select(*key)
         return self.spark.createDataFrame([], like.select(*key).schema)
 
-    def _point(self, table: str, path: str, schema: T.StructType) -> None:
+    def _point(self, table: str, path: str, schema: T.StructType, partition: str | None) -> None:
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-        self.spark.sql(f"CREATE TABLE {table} ({ddl}) USING PARQUET LOCATION '{path}'")
-
-    def replace(self, df: DataFrame, table: str) -> None:
+        parted = f"PARTITIONED BY (`{partition}`)" if partition else ""
+        self.spark.sql(f"CREATE TABLE {table} ({ddl}) USING PARQUET {parted} LOCATION '{path}'")
+        if partition:
+            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+
+    def replace(self, df: DataFrame, table: str, partition: str | None = None) -> None:
+        """Write a new version and point the table at it. With ``partition`` the table is partitioned by
+        that column, which moves to the end, and queries on it read only the partitions they need."""
         path = f"{self.root}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        if partition:
+            files.write_partitions(df, path, partition, whole=True)
+        else:
+            df.write.parquet(path)
         shape = [(f.name, f.dataType) for f in df.schema]
         if self.exists(table):
-            if [(f.name, f.dataType) for f in self.read(table).schema] == shape:
+            if partition is None and [(f.name, f.dataType) for f in self.read(table).schema] == shape:
                 self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
                 return
             self.spark.sql(f"DROP TABLE {table}")
-        self._point(table, path, df.schema)
+        self._point(table, path, df.schema, partition)
 
     def append(self, df: DataFrame, table: str) -> None:
         if not self.exists(table):

@@ -139,6 +139,24 @@ def test_warehouse(rows, spark, folder):
     assert not house.exists(table)
 
 
+def test_partitioned_warehouse_table(rows, spark, folder):
+    house = Warehouse(spark, folder)
+    house.recreate_schema("gold_parts")
+    table = "gold_parts.t"
+    ddl = "k bigint, year bigint, v string"
+    house.replace(rows(ddl, (1, 2023, "a"), (2, 2024, "b")), table, "year")
+    assert house.insert_unseen(rows(ddl, (2, 2024, "x"), (3, 2025, "c"), (4, 2024, "d")), table, ["k"]) == 2
+    assert sorted((r.k, r.year, r.v) for r in house.read(table).collect()) == [
+        (1, 2023, "a"), (2, 2024, "b"), (3, 2025, "c"), (4, 2024, "d"),
+    ]
+    one = house.read(table).where("year = 2024")
+    assert sorted(r.k for r in one.collect()) == [2, 4]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+    house.replace(house.read(table).where("year > 2023"), table, "year")
+    assert sorted(r.k for r in house.read(table).collect()) == [2, 3, 4]
+
+
 EVENTS = TableSpec("e", "facts", {"k": "bigint", "v": "double"}, surrogate="k", natural=("k",))
 
 
