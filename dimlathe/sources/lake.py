@@ -78,6 +78,12 @@ class Lake:
         else:
             files.append_partitions(df.select(*spec.columns), versions[-1], spec.partition)
 
+    def drop_old_versions(self, spec: TableSpec, keep: int = 1) -> None:
+        """Delete all but the newest ``keep`` versions, once no reader uses them."""
+        for path in self._versions(spec)[:-keep]:
+            hadoop_path, fs = file_system(self.spark, path)
+            fs.delete(hadoop_path, True)
+
     def set_aside(self, spec: TableSpec, df: DataFrame) -> None:
         """Keep rows that cannot be merged, for repair and a later load."""
         df.write.mode("append").parquet(f"{self.root}/quarantine/{spec.name}")

@@ -58,6 +58,9 @@ def test_lake_versions(rows, spark, folder):
     assert "PartitionFilters: [isnotnull(year" in touched._jdf.queryExecution().executedPlan().toString()
     os.makedirs(f"{folder}/facts/t/v-00000009")
     assert lake.read(SPEC).count() == 3
+    lake.drop_old_versions(SPEC)
+    assert sorted(os.listdir(f"{folder}/facts/t")) == ["v-00000002", "v-00000009"]
+    assert lake.read(SPEC).count() == 3
 
 
 def test_json_paths(spark, folder):
