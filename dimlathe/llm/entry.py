@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from dimlathe.llm import quality_rules
+from dimlathe.llm import license_scan, quality_rules
 
 
 def queries():
     return {
+        "op1_license_scan": license_scan.op1_license_scan,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality_rules.OP3_SQL}
+    return {
+        "op1_license_scan": license_scan.OP1_SQL,
+        "op3_quality_rules": quality_rules.OP3_SQL,
+    }
