@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from dimlathe.llm import license_scan, quality_rules
+from dimlathe.llm import license_scan, mixing, quality_rules, sharding
 
 
 def queries():
     return {
         "op1_license_scan": license_scan.op1_license_scan,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op6_mixing": mixing.op6_mixing,
+        "op10_sharding": sharding.op10_sharding,
         "pipeline": corpus_pipeline.run,
     }
 
