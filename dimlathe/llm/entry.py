@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from dimlathe.llm import license_scan, mixing, quality_rules, sharding
+from dimlathe.llm import byte_bpe, license_scan, mixing, ngram_join, quality_rules, sharding, warc
 
 
 def queries():
     return {
         "op1_license_scan": license_scan.op1_license_scan,
+        "op2_ngram_join": ngram_join.op2_ngram_join,
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op6_mixing": mixing.op6_mixing,
+        "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+        "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
         "pipeline": corpus_pipeline.run,
     }
