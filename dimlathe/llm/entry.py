@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from dimlathe.llm import byte_bpe, license_scan, mixing, ngram_join, quality_rules, sharding, warc
+from dimlathe.llm import byte_bpe, fingerprints, license_scan, mixing, ngram_join, quality_rules, sharding, warc
 
 
 def queries():
@@ -13,6 +13,7 @@ def queries():
         "op3_quality_rules": quality_rules.op3_quality_rules,
         "op6_mixing": mixing.op6_mixing,
         "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+        "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
         "pipeline": corpus_pipeline.run,
