@@ -1,12 +1,12 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
 
-A text's paragraphs are hashed to 64 bits; each digest goes into three cells, which hold a count, the XOR of digests and the XOR of
-their checks. Sketches of two versions are subtracted cell by cell: what both hold cancels. Peeling then takes
-digests out of cells that hold just one until nothing is left, which yields the digests that differ. Where that fails, it is
-retried with larger sketches, and in the end on the plain digests. Likeness is the share of paragraphs that don't differ.
+A text's paragraphs are hashed to 64-bit digests that carry 20 bits of check of their other 44. Each digest goes into three cells, one in
+each third of the table; a cell holds the XOR of its digests. Sketches of two versions are subtracted cell by cell, by XOR: what
+both hold cancels. Peeling then takes digests out of cells whose check says that they hold just one, until nothing is left;
+that yields the digests that differ. Where it gets stuck it is retried with larger sketches, and in the end on the
+plain digests. Likeness is the share of paragraphs that don't differ.
 
-Native: built-in expressions only. A sketch is kept as its filled cells in order, so its cost follows the text and not the
-table's size.
+Native: built-in expressions only.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ CELLS = (48, 240, 1200, 6000)
 PIECE = 512
 #: Rounds of peeling; each takes all single cells at once.
 ROUNDS = 24
-CELL = "struct<cell:int,n:int,digest:bigint,check:bigint>"
 #: Rows of a bucket, about, in which a document finds the next one.
 BUCKET_ROWS = 20_000
 BUCKETS = 1024
@@ -41,7 +40,12 @@ def paragraphs(text: Column) -> Column:
             lambda p: F.when(F.length(p) <= PIECE, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))),
         )
     )
-    return F.transform(pieces, lambda p: F.xxhash64(p))
+    return F.transform(pieces, lambda p: checked(F.xxhash64(p)))
+
+
+def checked(h: Column) -> Column:
+    """The upper 44 bits of a hash, with a 20-bit check of them below."""
+    return F.get(F.transform(F.array(F.shiftrightunsigned(h, 20)), lambda x: F.shiftleft(x, 20).bitwiseOR(F.xxhash64(F.lit(11), x).bitwiseAND(0xFFFFF))), F.lit(0))
 
 
 def numbered(digests: str) -> Column:
@@ -56,7 +60,7 @@ def numbered(digests: str) -> Column:
             F.when((s["last"] == x) & (F.size(s["out"]) > 0), s["k"] + 1).otherwise(0).alias("k"),
             F.concat(
                 s["out"],
-                F.array(F.when((s["last"] == x) & (F.size(s["out"]) > 0), F.xxhash64(x, s["k"] + 1)).otherwise(x)),
+                F.array(F.when((s["last"] == x) & (F.size(s["out"]) > 0), checked(F.xxhash64(x, s["k"] + 1))).otherwise(x)),
             ).alias("out"),
         ),
         lambda s: s["out"],
@@ -64,89 +68,49 @@ def numbered(digests: str) -> Column:
     return F.when(F.size(F.array_distinct(d)) == F.size(d), ordered).otherwise(state)
 
 
-def _three(digest: Column, n: Column, third: int) -> Column:
-    """The digest's three cells, one in each third of the table."""
-
-    def cells(check: Column) -> Column:
-        return F.array(
-            *(
-                F.struct(
-                    (F.pmod(F.shiftright(check, 20 * k), F.lit(third)) + k * third).cast("int").alias("cell"),
-                    n.alias("n"), digest.alias("digest"), check.alias("check"),
-                )
-                for k in range(3)
-            )
-        )
-
-    return _let(F.xxhash64(F.lit(11), digest), cells)
-
-
-def _entries(digests: Column, cells: int) -> Column:
-    return F.flatten(F.transform(digests, lambda x: _three(x, F.lit(1), cells // 3)))
-
-
-def _merge(entries: Column) -> Column:
-    """Entries summed by cell, empty cells left out."""
-    empty = F.array().cast(f"array<{CELL}>")
-
-    def put(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joined = F.struct(
-            x["cell"].alias("cell"), (last["n"] + x["n"]).alias("n"),
-            last["digest"].bitwiseXOR(x["digest"]).alias("digest"), last["check"].bitwiseXOR(x["check"]).alias("check"),
-        )
-        same = (F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["cell"] == x["cell"])
-        return F.when(same, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), F.array(joined))).otherwise(F.concat(acc, F.array(x)))
-
-    return F.filter(
-        F.aggregate(F.sort_array(entries), empty, put),
-        lambda c: (c["n"] != 0) | (c["digest"] != 0) | (c["check"] != 0),
-    )
-
-
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once: lambdas have no common subexpressions."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _place(digest: str, k: int, third: int) -> str:
+    """SQL: the digest's cell in the k-th third of the table."""
+    return f"int(pmod(xxhash64({k}, {digest}), {third}) + {k * third})"
 
 
-def sketch(digests: Column, cells: int = CELLS[0]) -> Column:
-    return _merge(_entries(digests, cells))
-
-
-def subtract(a: Column, b: Column) -> Column:
-    negative = F.transform(
-        b, lambda c: F.struct(c["cell"].alias("cell"), (-c["n"]).alias("n"), c["digest"].alias("digest"), c["check"].alias("check"))
+def _put(cells: str, digest: str, size: int) -> str:
+    """SQL: the cells with the digest put in, or taken out, of its three."""
+    places = ", ".join(_place(digest, k, size // 3) for k in range(3))
+    return (
+        f"aggregate(array({places}), {cells}, (a, c) -> "
+        f"concat(slice(a, 1, c), array(get(a, c) ^ {digest}), slice(a, c + 2, {size} - 1 - c)))"
     )
-    return _merge(F.concat(a, negative))
 
 
-def peel(difference: Column, cells: int) -> Column:
-    """Signed digests that a subtracted sketch holds, as (digest, n), or null where peeling gets stuck."""
-    third = cells // 3
-    start = F.struct(difference.alias("cells"), F.array().cast("array<struct<digest:bigint,n:int>>").alias("out"))
+def sketch(digests: str, size: int = CELLS[0]) -> str:
+    """SQL: the cells of an array of digests."""
+    return f"aggregate({digests}, array_repeat(0L, {size}), (cells, d) -> {_put('cells', 'd', size)})"
 
-    def step(s: Column, _: Column) -> Column:
-        pure = F.filter(s["cells"], lambda c: (F.abs(c["n"]) == 1) & (F.xxhash64(F.lit(11), c["digest"]) == c["check"]))
-        found = F.array_distinct(F.transform(pure, lambda c: F.struct(c["digest"].alias("digest"), c["n"].alias("n"))))
 
-        def take(found: Column) -> Column:
-            removed = F.flatten(F.transform(found, lambda x: _three(x["digest"], -x["n"], third)))
-            return F.struct(_merge(F.concat(s["cells"], removed)).alias("cells"), F.concat(s["out"], found).alias("out"))
+def subtract(a: str, b: str) -> str:
+    return f"zip_with({a}, {b}, (x, y) -> x ^ y)"
 
-        return F.when(F.size(s["cells"]) == 0, s).otherwise(_let(found, take))
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.lit(ROUNDS)), start, step, lambda s: F.when(F.size(s["cells"]) == 0, s["out"])
-    )
+def peel(difference: str, size: int) -> str:
+    """SQL: the digests that a subtracted sketch holds, null where peeling gets stuck."""
+    single = "x <> 0 AND (x & 1048575) = (xxhash64(11, shiftrightunsigned(x, 20)) & 1048575)"
+    emptied = f"aggregate(s.pure, s.cells, (cells, d) -> {_put('cells', 'd', size)})"
+    return f"""aggregate(
+      sequence(1, {ROUNDS}),
+      named_struct('cells', {difference}, 'pure', array(0L), 'out', array(0L)),
+      (s, k) -> CASE WHEN k > 1 AND size(s.pure) = 0 THEN s ELSE
+        transform(array(IF(k = 1, s.cells, {emptied})), cells -> named_struct(
+          'cells', cells, 'pure', array_distinct(filter(cells, x -> {single})), 'out', concat(s.out, s.pure)))[0] END,
+      s -> IF(size(s.pure) = 0 AND forall(s.cells, x -> x = 0), array_remove(s.out, 0L), NULL))"""
 
 
 def differing(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
     """How many paragraphs of two columns of digests differ, by the smallest sketch that peels. The columns' first
     sketches are given."""
-    x, y = F.col(a), F.col(b)
-    first = F.size(peel(subtract(F.col(sketch_a), F.col(sketch_b)), CELLS[0]))
-    larger = [F.size(peel(subtract(sketch(x, m), sketch(y, m)), m)) for m in CELLS[1:]]
-    return F.coalesce(first, *larger, F.size(F.array_except(x, y)) + F.size(F.array_except(y, x)))
+    tries = [peel(subtract(sketch_a, sketch_b), CELLS[0])]
+    tries += [peel(subtract(sketch(a, m), sketch(b, m)), m) for m in CELLS[1:]]
+    plain = f"size(array_except({a}, {b})) + size(array_except({b}, {a}))"
+    return F.expr(f"coalesce({', '.join(f'size({t})' for t in tries)}, {plain})")
 
 
 def likeness(differ: Column, a: str, b: str) -> Column:
@@ -154,17 +118,14 @@ def likeness(differ: Column, a: str, b: str) -> Column:
     return F.when(total == 0, 1.0).otherwise(1 - differ / total)
 
 
-def as_text(sketched: Column, digests: str, n_chars: Column) -> Column:
-    """A fingerprint's text: paragraphs, then a cell each as place, count, digest and check."""
-    cells = F.transform(
-        sketched,
-        lambda c: F.concat_ws(":", c["cell"].cast("string"), c["n"].cast("string"), F.lower(F.hex(c["digest"])), F.lower(F.hex(c["check"]))),
-    )
-    return F.concat_ws(";", F.concat_ws("/", n_chars.cast("string"), F.size(digests).cast("string")), F.array_join(cells, ";"))
+def as_text(cells: str, digests: str, n_chars: str) -> Column:
+    """A fingerprint's text: code points and paragraphs, then the filled cells by place."""
+    filled = f"filter(transform({cells}, (x, i) -> IF(x = 0, NULL, concat(string(i), ':', lower(hex(x))))), x -> x IS NOT NULL)"
+    return F.expr(f"concat({n_chars}, '/', size({digests}), ';', array_join({filled}, ';'))")
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text and next_text: the text of the next row by doc_id (nulls last, ties by the text), after the last the first.
+    """bucket, doc_id, text and next_text: the text of the next row by doc_id (nulls last, ties by the text), after the last the first.
 
     Rows are dealt to buckets by quantiles of doc_id, whole ids to one bucket, and each bucket is sorted once. The first id of
     every bucket is also sent to the bucket before it, so no row needs a second shuffle. At most ``BUCKETS`` bounds reach the driver.
@@ -174,7 +135,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     ids = read.select(F.col("doc_id").cast("long").alias("doc_id"))
     count = ids.count()
     if not count:
-        return read.withColumn("next_text", F.lit(None).cast("string"))
+        return read.select(F.lit(0).alias("bucket"), "*", F.lit(None).cast("string").alias("next_text"))
     wanted = min(BUCKETS, parts_for(spark, count, BUCKET_ROWS) * 4)
     shares = F.array(*(F.lit(k / wanted) for k in range(1, wanted)))
     bounds = ids.agg(F.percentile_approx("doc_id", shares, F.lit(10_000)).alias("b")).first()["b"] or []
@@ -194,7 +155,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     parts = parts_for(spark, len(firsts), 4)
     return (
         both.repartition(parts, "bucket")
-        .select("doc_id", "text", "guest", F.lead("text").over(order).alias("next_text"))
+        .select("bucket", "doc_id", "text", "guest", F.lead("text").over(order).alias("next_text"))
         .where("guest = 0")
         .drop("guest")
     )
@@ -213,17 +174,27 @@ def compare(docs: DataFrame) -> DataFrame:
     columns are left out; a single row is its own next; an empty table gives no rows.
     """
     rows = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    keys = ["bucket", "row", "doc_id", "n_chars", "edited_chars", "edited_sha256"]
     raw = rows.select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.length("edited").cast("long").alias("edited_chars"),
+        "bucket", F.monotonically_increasing_id().alias("row"), "doc_id", F.length("text").cast("long").alias("n_chars"), F.length("edited").cast("long").alias("edited_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         paragraphs(F.col("text")).alias("p"), paragraphs(F.col("edited")).alias("q"), paragraphs(F.col("next_text")).alias("r"),
     )
-    told = raw.select("doc_id", "n_chars", "edited_chars", "edited_sha256", *(numbered(c).alias(c) for c in "pqr"))
-    sketched = told.select("*", *(sketch(F.col(c)).alias(f"s{c}") for c in "pqr"))
+    told = raw.select(*keys, *(numbered(c).alias(c) for c in "pqr"))
+    # Cells by aggregation: one row per paragraph, one XOR per cell. Rows of a bucket are together already, so nothing
+    # moves; the digests are gathered again for retries.
+    versions = F.array(*(F.struct(F.lit(v).alias("version"), F.col(v).alias("digests")) for v in "pqr"))
+    each = told.select(*keys, F.inline(versions)).select(*keys, "version", F.explode_outer("digests").alias("d"))
+    third = CELLS[0] // 3
+    each = each.select("*", *(F.expr(f"{_place('d', k, third)}").alias(f"c{k}") for k in range(3)))
+    cells = [F.coalesce(F.bit_xor(F.when(F.col(f"c{i // third}") == i, F.col("d"))), F.lit(0)) for i in range(CELLS[0])]
+    made = each.groupBy(*keys, "version").agg(F.struct(F.array(*cells).alias("cells"), F.collect_list("d").alias("digests")).alias("v"))
+    wide = made.groupBy(*keys).agg(*(F.first(F.when(F.col("version") == v, F.col("v")), True).alias(v) for v in "pqr"))
+    sketched = wide.select(*keys, *(F.col(f"{v}.digests").alias(v) for v in "pqr"), *(F.col(f"{v}.cells").alias(f"s{v}") for v in "pqr"))
     return sketched.select(
         "doc_id", "n_chars", "edited_sha256",
-        as_text(F.col("sp"), "p", F.col("n_chars")).alias("fingerprint"),
-        as_text(F.col("sq"), "q", F.col("edited_chars")).alias("edited_fingerprint"),
+        as_text("sp", "p", "n_chars").alias("fingerprint"),
+        as_text("sq", "q", "edited_chars").alias("edited_fingerprint"),
         likeness(differing("p", "q", "sp", "sq"), "p", "q").alias("near_edited"),
         likeness(differing("p", "r", "sp", "sr"), "p", "r").alias("near_next"),
     )
