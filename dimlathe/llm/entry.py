@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from dimlathe.llm import byte_bpe, fingerprints, license_scan, mixing, ngram_join, quality_rules, sharding, warc
+from dimlathe.llm import (
+    byte_bpe, fingerprints, html_extract, license_scan, mixing, ngram_join, pii, quality_rules, sharding, warc,
+)
 
 
 def queries():
@@ -11,6 +13,8 @@ def queries():
         "op1_license_scan": license_scan.op1_license_scan,
         "op2_ngram_join": ngram_join.op2_ngram_join,
         "op3_quality_rules": quality_rules.op3_quality_rules,
+        "op4_pii": pii.op4_pii,
+        "op5_html_extract": html_extract.op5_html_extract,
         "op6_mixing": mixing.op6_mixing,
         "op7_byte_bpe": byte_bpe.op7_byte_bpe,
         "op8_fingerprints": fingerprints.op8_fingerprints,

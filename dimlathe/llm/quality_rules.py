@@ -155,7 +155,8 @@ def keep_good(docs: DataFrame, policy: Policy = PRODUCTION) -> DataFrame:
     row = docs.toDF(*positions).select(
         F.struct(*positions).alias("doc_id"), F.col(f"__{names.index('text')}").alias("text")
     )
-    kept = ledger(row).where(passes(policy))
+    # The row number keeps the filter where it is: pushed below the ledger it would evaluate the rules once more.
+    kept = ledger(row).withColumn("__row", F.monotonically_increasing_id()).where(passes(policy) & (F.col("__row") >= 0))
     return kept.select(*(F.col(f"doc_id.{p}").alias(n) for p, n in zip(positions, names, strict=True)))
 
 
