@@ -251,9 +251,12 @@ class Model:
 
 
 def train(pages: DataFrame, most: int = LABELLED) -> Model:
-    """A model from ``most`` pages at most, the first by a hash of page_id and html. Only these reach the driver."""
+    """A model from ``most`` pages at most, the first by a hash of page_id. Only these reach the driver."""
     known = pick(pages, "page_id", "html").where("html IS NOT NULL AND html <> ''")
-    sample = known.orderBy(F.xxhash64("page_id", F.length("html")), "page_id").limit(most)
+    # Ids first, so that tasks send no pages but the chosen ones.
+    first = known.select("page_id", F.xxhash64("page_id").alias("h")).where("page_id IS NOT NULL").orderBy("h", "page_id").limit(most)
+    chosen = sorted({row["page_id"] for row in first.collect()})
+    sample = known.where(F.col("page_id").isin(chosen)).limit(most)
     return Model([row["html"] for row in sample.collect()])
 
 

@@ -59,14 +59,14 @@ def record(row: dict) -> bytes:
         ("Content-Type", "application/http; msgtype=response"),
         ("WARC-Payload-Digest", f"sha1:{base32_sha1(payload)}"),
         ("WARC-Block-Digest", f"sha1:{base32_sha1(block)}"),
-        ("X-Page-ID", "" if row["page_id"] is None else str(row["page_id"])),
+        ("X-Page-ID", row["page_id"] or ""),
         ("X-Null-Fields", ",".join(c for c in ("url", "html") if row[c] is None)),
     ]
     if revisit:
         headers += [
             ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
             ("WARC-Refers-To", record_id(f"record:{row['first_row']}")),
-            ("X-Refers-To-Page", "" if row["refers_to"] is None else str(row["refers_to"])),
+            ("X-Refers-To-Page", row["refers_to"] or ""),
         ]
     headers.append(("Content-Length", str(len(block))))
     lines = [b"WARC/1.1", *(f"{k}: {v}".encode() for k, v in headers)]
@@ -143,6 +143,9 @@ def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES, part_bytes: int
     parts = max(spark.sparkContext.defaultParallelism, -(-total // part_bytes))
     annotated = named.drop("payload", "payload_bytes").join(plan(named), "row")
     ordered = annotated.repartitionByRange(parts, "page_id", "row").sortWithinPartitions("page_id", "row")
+    # Numbers go as text: a batch with a null would turn longs into floats.
+    numbers = ("row", "page_id", "first_row", "refers_to")
+    ordered = ordered.withColumns({c: F.col(c).cast("string") for c in numbers})
 
     def archive(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
