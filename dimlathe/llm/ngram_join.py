@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimlathe.llm.common import pick, whole_text
+from dimlathe.llm.common import pick, shuffle_partitions, whole_text
 from dimlathe.session import materialize
 
 WORDS = 4
@@ -308,23 +308,49 @@ def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, percen
     )
     dealt = members.withColumnRenamed("node", "at").join(sides, ["h", "at"])
 
-    def search(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["side", "n", "rep"])
-        trees, reps = [], []
-        for side in (0, 1):
-            part = rows[rows["side"] == side]
-            if not len(part):
+    keys = ["h", "s", "k", "s2", "k2"]
+
+    def pairs_of(sizes, bits, comps, reps, split: int) -> np.ndarray:
+        """Pairs out of one task's two nodes (the second starts at ``split``), or out of one with itself."""
+        one = Tree(sizes[:split], bits[:split], comps[:split])
+        two = Tree(sizes[split:], bits[split:], comps[split:]) if split < len(reps) else one
+        i, j = traverse(one, two, percent)
+        x, y = reps[i], reps[j + split if split < len(reps) else j]
+        found = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y]
+        return np.unique(found, axis=0)
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows come sorted by key; what may go on in the next batch is held over.
+        def worked(rows: pd.DataFrame) -> pd.DataFrame:
+            ids = rows[keys].to_numpy(np.int64)
+            starts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]).any(axis=1), [True])))
+            bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+            sizes, comps, reps, second = (rows[c].to_numpy(np.int64) for c in ("n", "component", "rep", "side"))
+            found = [np.empty((0, 2), np.int64)]
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                split = b - a - int(second[a:b].sum())
+                found.append(pairs_of(sizes[a:b], bits[a:b], comps[a:b], reps[a:b], split))
+            pairs = np.concatenate(found)
+            return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            if not len(rows):
                 continue
-            bits = np.frombuffer(b"".join(part["bits"]), np.uint64).reshape(len(part), -1)
-            trees.append(Tree(part["n"].to_numpy(np.int64), bits, part["component"].to_numpy(np.int64)))
-            reps.append(part["rep"].to_numpy(np.int64))
-        i, j = traverse(trees[0], trees[-1], percent)
-        x, y = reps[0][i], reps[-1][j]
-        found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y], axis=0)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
+            last = (rows[keys] == rows[keys].iloc[-1]).all(axis=1).to_numpy()
+            first = int(np.argmax(last))
+            held = rows.iloc[first:].reset_index(drop=True)
+            if first:
+                yield worked(rows.iloc[:first])
+        if held is not None and len(held):
+            yield worked(held)
 
     dealt = dealt.select("h", "node.s", "node.k", F.col("node2.s").alias("s2"), F.col("node2.k").alias("k2"), "side", "rep", "n", "bits", "component")
-    return dealt.groupBy("h", "s", "k", "s2", "k2").applyInPandas(search, "a long, b long").distinct()
+    # An explicit number of partitions: the rows are few but the work on them is not.
+    parts = max(shuffle_partitions(classes.sparkSession), classes.sparkSession.sparkContext.defaultParallelism) * 2
+    dealt = dealt.repartition(parts, *keys).sortWithinPartitions(*keys, "side", "n", "rep")
+    return dealt.mapInPandas(search, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
