@@ -129,8 +129,11 @@ def replace_unprotected(t: Tables) -> DataFrame:
                     WHERE o_orderstatus IN ('F', 'O'))
     SELECT order_key, o_orderkey, 'csv' AS source FROM stored WHERE o_orderstatus = 'F'
     UNION ALL
+    SELECT order_key, o_orderkey, 'api' FROM stored
+    WHERE o_orderstatus = 'O' AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+    UNION ALL
     SELECT (SELECT max(order_key) FROM stored) + row_number() OVER (ORDER BY o_orderdate, o_orderkey), o_orderkey, 'api'
-    FROM orders WHERE o_orderstatus <> 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+    FROM orders WHERE o_orderstatus NOT IN ('F', 'O') AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
     """,
 )
 def replace_unprotected_stable(t: Tables) -> DataFrame:

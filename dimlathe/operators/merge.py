@@ -7,9 +7,9 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from dimlathe.functions.text import contains_ci
 from dimlathe.operators.keys import (
     append_keys,
     complete_keys,
@@ -17,10 +17,12 @@ from dimlathe.operators.keys import (
     keep_first,
     max_id_outside,
     max_key,
+    ordering,
 )
 from dimlathe.operators.lookup import new_rows, unseen
 from dimlathe.operators.shape import align, select_existing, stamp_lineage
 from dimlathe.registry import TableSpec
+from dimlathe.session import materialize
 
 ADD, UPDATE, SKIP_PROTECTED, SKIP_EQUAL, NULL_KEY = "add", "update", "skip_protected", "skip_equal", "null_key"
 
@@ -46,7 +48,7 @@ def _join_incoming(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]
 
 def _action_on_match(compare: Sequence[str], lineage: str, protected: str) -> Column:
     equal = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"__new_{c}")) for c in compare), F.lit(True))
-    return F.when(contains_ci(F.col(lineage), protected), SKIP_PROTECTED).when(equal, SKIP_EQUAL).otherwise(UPDATE)
+    return F.when(F.col(lineage).eqNullSafe(protected), SKIP_PROTECTED).when(equal, SKIP_EQUAL).otherwise(UPDATE)
 
 
 def action_counts(
@@ -86,30 +88,34 @@ def upsert(
     ``preserve``. Batch rows with a NULL key part are left out (``action_counts`` reports them).
 
     The stored table is left-joined to the batch instead of a full outer join: a batch under the
-    broadcast threshold then moves none of the stored rows. Both sides must hold each key once;
-    ``first_existing_by`` and ``last_batch_by`` make it so where that is not known. When ``existing``
+    broadcast threshold then moves none of the stored rows. Of a key repeated in the batch the last row by
+    ``last_batch_by`` (else by ``key_order``) counts. No stored row is ever removed; ``first_existing_by`` names the one that
+    is updated where a key is stored more than once. When ``existing``
     is only the part of a table that the batch touches, ``floor`` is the largest key of the rest.
     """
+    batch = keep_first(complete_keys(batch, keys), keys, [F.col(c).desc_nulls_first() for c in last_batch_by or key_order])
+    columns = existing.columns
     if first_existing_by is not None:
-        existing = keep_first(existing, keys, first_existing_by)
-    if last_batch_by is not None:
-        batch = keep_first(batch, keys, [F.col(c).desc_nulls_first() for c in last_batch_by])
+        place = F.row_number().over(W.partitionBy(*keys).orderBy(*ordering(first_existing_by)))
+        existing = existing.withColumn("__place", place)
     fresh = [c for c in existing.columns if c in batch.columns and c not in preserve and c not in keys]
     incoming = _incoming(batch, keys, [*fresh, *compare])
     action = F.when(F.col("__matched"), _action_on_match(compare, lineage, protected))
+    if first_existing_by is not None:  # a key's other stored rows stay as they are
+        action = F.when(F.col("__place") == 1, action)
     joined = _join_incoming(existing, incoming, keys, "left").withColumn("__action", action)
     updated = F.col("__action") == UPDATE
     stored = joined.select(
         *(
             F.when(updated, F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c)
-            for c in existing.columns
+            for c in columns
         )
     )
     added = unseen(complete_keys(batch, keys), existing, keys)
     added = added.withColumn(loaded_at, F.lit(load_ts.isoformat(sep=" ")).cast("timestamp_ntz"))
     floor = F.lit(floor) if isinstance(floor, int) else floor
     start = F.greatest(max_key(existing, surrogate), floor)
-    added = dense_key(select_existing(added, existing.columns), surrogate, key_order, start=start)
+    added = dense_key(select_existing(added, columns), surrogate, key_order, start=start)
     return align(stored, added)
 
 
@@ -135,19 +141,35 @@ def replace_unprotected(
     key_order: Sequence[str],
     lineage: str = "source",
     rekey: bool = True,
+    scope: Sequence[str] | None = None,
 ) -> DataFrame:
     """Keep protected rows, drop the others, add batch rows whose key no protected row has.
 
-    A NULL key part equals a NULL key part. ``rekey=True`` numbers the whole result anew;
-    ``rekey=False`` keeps stored keys and numbers only the added rows, so published keys stay valid.
+    With ``scope`` only rows whose values of these columns the batch holds are replaced; the rest of the table stays.
+    A NULL key part equals a NULL key part. ``rekey=True`` numbers the whole result anew; ``rekey=False`` numbers only
+    rows whose key was not stored: added rows take over the stored number of their key, so published keys stay valid.
     """
-    kept = existing.where(F.col(lineage).isin(*protected))
+    safe = F.coalesce(F.col(lineage).isin(*protected), F.lit(False))
+    kept, replaced = existing.where(safe), existing.where(~safe)
+    if scope is not None:
+        kept = align(kept, unseen(replaced, batch, scope, null_safe=True))
     added = unseen(batch, kept, keys, null_safe=True)
     if rekey:
         merged = align(kept.drop(surrogate), select_existing(added, [c for c in existing.columns if c != surrogate]))
         return dense_key(merged, surrogate, key_order)
-    added = append_keys(select_existing(added, existing.columns), existing, surrogate, key_order)
-    return align(kept, added)
+    stored = keep_first(replaced, keys, [surrogate]).select(
+        *(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col(surrogate).alias("__stored")
+    )
+    same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)))
+    columns = [c for c in existing.columns if c != surrogate]
+    # Of a key repeated in the batch only the first row can take over the number.
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(*ordering(key_order)))
+    added = select_existing(added, columns).withColumn("__place", place)
+    known = added.join(stored, same & (F.col("__place") == 1), "left").drop("__place", *(f"__k{i}" for i in range(len(keys))))
+    known = materialize(known, "replaced")
+    again = known.where("__stored IS NOT NULL").withColumnRenamed("__stored", surrogate)
+    fresh = append_keys(known.where("__stored IS NULL").drop("__stored"), existing, surrogate, key_order)
+    return align(align(kept, again), fresh)
 
 
 def increment(

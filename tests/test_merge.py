@@ -33,7 +33,7 @@ def batch(rows):
 def run(rows, existing, incoming, **options):
     return merge.upsert(
         existing, incoming, keys=["ref"], surrogate="key", compare=["name"], preserve=["key", "id", "source", "created_at"],
-        protected="F1_DATA.csv", key_order=["ref"], load_ts=NOW, **options,
+        protected="f1_data.csv", key_order=["ref"], load_ts=NOW, **options,
     )
 
 
@@ -67,7 +67,9 @@ def test_first_load_continues_a_given_maximum(rows):
 def test_first_stored_and_last_incoming_row_decide(rows):
     existing = stored(rows).union(rows(DDL, (20, 120, "same", "other", "u", "f1_data.csv", BEFORE)))
     incoming = batch(rows).union(rows(BATCH, (7, "changed", "last", "w", "api")))
-    got = shown(run(rows, existing, incoming, first_existing_by=["key"], last_batch_by=["id"]))
+    merged = run(rows, existing, incoming, first_existing_by=["key"], last_batch_by=["id"])
+    assert {2, 20} <= {r[0] for r in merged.collect()}  # no stored row is lost
+    got = shown(merged.where("key <> 20"))
     assert got["same"][0] == 2 and got["changed"][2] == "last" and len(got) == 6
 
 
@@ -100,6 +102,16 @@ def test_replace_unprotected(rows):
     assert sorted(r.key for r in stable.collect()) == [1, 7, 8]
 
 
+def test_replacement_stays_in_its_scope_and_keeps_numbers(rows):
+    existing = rows(LAPS, (1, 1, 1, "api", 10), (2, 2, 1, "api", 20), (3, 2, 2, "api", 25), (4, None, 1, "api", 5))
+    incoming = rows(LAPS[11:].strip(", "), (2, 1, "api", 21), (2, 3, "api", 30))
+    options = dict(keys=["race", "lap"], protected=["f1_data.csv"], surrogate="key", key_order=["race", "lap"])
+    merged = merge.replace_unprotected(existing, incoming, rekey=False, scope=["race"], **options)
+    assert {tuple(r) for r in merged.collect()} == {
+        (1, 1, 1, "api", 10), (2, 2, 1, "api", 21), (4, None, 1, "api", 5), (5, 2, 3, "api", 30),
+    }
+
+
 def test_increment_inserts_once_and_never_changes(rows):
     existing = rows(
         "key bigint, id bigint, ref string, source string, created_at timestamp_ntz",
