@@ -104,7 +104,7 @@ def load_csv(lake: Lake, csv: str, load_ts: datetime, first_day: str | None = No
 
 
 def flatten(
-    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool = False, exact_times: bool = False
+    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool = True, exact_times: bool = False
 ) -> DataFrame:
     """Typed rows of one JSON resource, with natural keys and no ids yet.
 
@@ -171,7 +171,7 @@ def foreign_key_report(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def backfill(
     lake: Lake, landing: str, load_ts: datetime, names: Iterable[str] = ORDER, rekey: bool = False,
-    one_per_line: bool = False, exact_times: bool = False,
+    one_per_line: bool = True, exact_times: bool = False,
 ) -> None:
     """Merge landed JSON into Silver. Rows of the wide file always win.
 
@@ -184,8 +184,10 @@ def backfill(
         spec = resource.spec
         batch = _batch(lake, landing, name, one_per_line, exact_times)
         if spec.identity:
-            base = racing.ID_BASE.get(name, racing.FACT_ID_BASE)
-            batch = keys.dense_key(batch, spec.identity, resource.order, start=base)
+            # After the largest stored id, so that no id is given twice in successive loads.
+            base = F.lit(racing.ID_BASE.get(name, racing.FACT_ID_BASE))
+            start = F.greatest(base, keys.max_key(lake.read(spec), spec.identity))
+            batch = keys.dense_key(batch, spec.identity, resource.order, start=start)
         batch = shape.stamp_lineage(batch, racing.API_SOURCE, load_ts)
         existing = lake.read(spec)
         if spec.identity:
@@ -207,14 +209,14 @@ def backfill(
             merged = merge.replace_unprotected(
                 existing, shape.select_existing(batch, list(spec.columns)), keys=spec.natural,
                 protected=[racing.CSV_SOURCE, racing.WEEKLY_SOURCE], surrogate=spec.surrogate,
-                key_order=leading[name] + rest, rekey=rekey,
+                key_order=leading[name] + rest, rekey=rekey, scope=["year", "race_key"],
             )
             lake.overwrite(spec, merged)
 
 
 def weekly(
     lake: Lake, landing: str, topic_root: str, load_ts: datetime, names: Iterable[str] = ORDER,
-    servers: str | None = None, one_per_line: bool = False, exact_times: bool = False,
+    servers: str | None = None, one_per_line: bool = True, exact_times: bool = False,
 ) -> dict[str, int]:
     """Add the rows not seen before to Silver and publish them; returns the published rows per table."""
     published = {}
@@ -250,12 +252,13 @@ def republish(lake: Lake, topic_root: str, names: Iterable[str] = ORDER[:4], ser
 # ---------------------------------------------------------------- Gold
 
 
-def build_gold(lake: Lake, house: Warehouse, first_year: int = 2012, last_year: int = 2030) -> None:
-    """Recreate the Gold schemas and load the ten tables with final types."""
+def build_gold(lake: Lake, house: Warehouse, first_year: int | None = None, last_year: int | None = None) -> None:
+    """Recreate the Gold schemas and load the ten tables with final types. All years unless a range is passed."""
     for area in ("dimensions", "facts"):
         house.recreate_schema(area)
     for spec in racing.TABLES.values():
-        rows = lake.read(spec, first_year, last_year) if spec.partition else lake.read(spec)
+        ranged = spec.partition and first_year is not None
+        rows = lake.read(spec, first_year, last_year) if ranged else lake.read(spec)
         house.replace(shape.conform(rows, spec), spec.qualified, spec.partition)
 
 

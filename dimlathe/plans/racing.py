@@ -408,7 +408,7 @@ RESOURCES = {
                 ("Laps", {"lap": "number"}),
                 ("Timings", {"driver_ref": "driverId", "lap_position": "position", "lap_minutes": "time"}),
             ),
-            order=("race_year", "race_round", "lap", "lap_position", "driver_ref"), first_only=True,
+            order=("race_year", "race_round", "lap", "lap_position", "driver_ref"),
         ),
         Resource(
             PITSTOPS,
@@ -427,7 +427,7 @@ RESOURCES = {
                     },
                 ),
             ),
-            order=("race_year", "race_round", "lap", "stop", "driver_ref"), first_only=True,
+            order=("race_year", "race_round", "lap", "stop", "driver_ref"),
         ),
         Resource(
             DRIVER_STANDINGS,
