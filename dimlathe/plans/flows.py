@@ -74,22 +74,27 @@ def cut_csv(wide: DataFrame, table: racing.CsvTable) -> DataFrame:
 
 def resolve_csv(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
     """Foreign keys from the file's ids; the race gives date and year in the same lookup."""
+    # A dimension key stored more than once resolves to its last row, so no lookup multiplies facts.
     if spec.name == "race":
-        return lookup.lookup(rows, lake.read(racing.CIRCUIT), {"circuit_id": "circuit_id"}, {"circuit_key": "circuit_key"})
+        take = {"circuit_key": "circuit_key"}
+        return lookup.lookup(rows, lake.read(racing.CIRCUIT), {"circuit_id": "circuit_id"}, take, ["circuit_key"])
     take = {"race_key": "race_key", "race_date": "__day"}
     if "year" in spec.columns and "year" not in rows.columns:
         take["race_year"] = "year"
-    rows = lookup.lookup(rows, lake.read(racing.RACE), {"race_id": "race_id"}, take)
+    rows = lookup.lookup(rows, lake.read(racing.RACE), {"race_id": "race_id"}, take, ["race_key"])
     rows = lookup.lookup(rows, lake.read(racing.TIME), {"__day": "full_date"}, {"time_key": "time_key"})
     for dim in (racing.DRIVER, racing.CONSTRUCTOR):
         if dim.surrogate in spec.columns:
-            rows = lookup.lookup(rows, lake.read(dim), {dim.identity: dim.identity}, {dim.surrogate: dim.surrogate})
+            take = {dim.surrogate: dim.surrogate}
+            rows = lookup.lookup(rows, lake.read(dim), {dim.identity: dim.identity}, take, [dim.surrogate])
     return rows
 
 
-def load_csv(lake: Lake, csv: str, load_ts: datetime, first_day: str | None = None, last_day: str | None = None) -> None:
-    """All ten Silver tables from the wide file."""
-    wide = bronze(lake.spark, csv)
+def load_csv(
+    lake: Lake, csv: str, load_ts: datetime, first_day: str | None = None, last_day: str | None = None, multi_line: bool = False
+) -> None:
+    """All ten Silver tables from the wide file. Rows without a year are set aside; ``multi_line`` reads quoted line breaks."""
+    wide = bronze(lake.spark, csv, multi_line)
     span = (first_day, last_day) if first_day else ()
     lake.overwrite(racing.TIME, calendar(lake.spark, *span))
     for name in ORDER:
@@ -97,7 +102,11 @@ def load_csv(lake: Lake, csv: str, load_ts: datetime, first_day: str | None = No
         rows = cut_csv(wide, table)
         if table.spec.foreign:
             rows = resolve_csv(rows, table.spec, lake)
-        lake.overwrite(table.spec, shape.stamp_lineage(rows, racing.CSV_SOURCE, load_ts))
+        rows = shape.stamp_lineage(rows, racing.CSV_SOURCE, load_ts)
+        if table.spec.partition:
+            rows = materialize(rows, f"csv-{name}")
+            lake.set_aside_unplaced(table.spec, rows)
+        lake.overwrite(table.spec, rows)
 
 
 # ---------------------------------------------------------------- landed JSON
@@ -141,15 +150,16 @@ def resolve_api(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
     same driver and race from the results."""
     if spec.name == "race":
         take = {"circuit_key": "circuit_key"}
-        return lookup.lookup(rows, lake.read(racing.CIRCUIT), {"circuit_ref": "circuit_references"}, take)
+        return lookup.lookup(rows, lake.read(racing.CIRCUIT), {"circuit_ref": "circuit_references"}, take, ["circuit_key"])
     take = {"race_key": "race_key", "race_date": "__day"}
     rounds = {"race_year": "race_year", "race_round": "race_round"}
-    rows = lookup.lookup(rows, lake.read(racing.RACE), rounds, take)
+    rows = lookup.lookup(rows, lake.read(racing.RACE), rounds, take, ["race_key"])
     rows = lookup.lookup(rows, lake.read(racing.TIME), {"__day": "full_date"}, {"time_key": "time_key"})
     for dim in (racing.DRIVER, racing.CONSTRUCTOR):
         reference = dim.natural[0]
         if reference in rows.columns:
-            rows = lookup.lookup(rows, lake.read(dim), {reference: reference}, {dim.surrogate: dim.surrogate})
+            take = {dim.surrogate: dim.surrogate}
+            rows = lookup.lookup(rows, lake.read(dim), {reference: reference}, take, [dim.surrogate])
     if "constructor_key" in spec.columns and "constructor_key" not in rows.columns:
         results = lake.read(racing.RESULTS)
         rows = lookup.lookup_via_bridge(rows, results, ["race_key", "driver_key"], "constructor_key", ["result_key"])
@@ -183,11 +193,13 @@ def backfill(
         resource = racing.RESOURCES[name]
         spec = resource.spec
         batch = _batch(lake, landing, name, one_per_line, exact_times)
+        existing = lake.read(spec)
         if spec.identity:
-            base = racing.ID_BASE.get(name, racing.FACT_ID_BASE)
-            batch = keys.dense_key(batch, spec.identity, resource.order, start=base)
+            # After the largest stored id, so that successive loads give no id twice.
+            base = F.lit(racing.ID_BASE.get(name, racing.FACT_ID_BASE)).cast("bigint")
+            start = F.greatest(base, keys.max_key(existing, spec.identity))
+            batch = keys.dense_key(batch, spec.identity, resource.order, start=start)
         batch = shape.stamp_lineage(batch, racing.API_SOURCE, load_ts)
-        existing = lake.read(spec)
         if spec.identity:
             lake.set_aside(spec, keys.complete_keys(batch, spec.natural, complete=False))
         if spec.identity and spec.partition:
@@ -202,12 +214,14 @@ def backfill(
             )
             lake.overwrite(spec, merged)
         else:
+            lake.set_aside_unplaced(spec, batch)
+            batch = files.with_partition_value(batch, spec.partition)
             leading = {"laps": ["year", "race_key", "lap", "lap_position"], "pitstops": ["year", "race_key", "stop"]}
             rest = [c for c in spec.columns if c not in leading[name] and c != spec.surrogate]
             merged = merge.replace_unprotected(
                 existing, shape.select_existing(batch, list(spec.columns)), keys=spec.natural,
                 protected=[racing.CSV_SOURCE, racing.WEEKLY_SOURCE], surrogate=spec.surrogate,
-                key_order=leading[name] + rest, rekey=rekey,
+                key_order=leading[name] + rest, rekey=rekey, scope=["year", "race_key"],
             )
             lake.overwrite(spec, merged)
 
@@ -229,6 +243,9 @@ def weekly(
             identity_floor=racing.ID_BASE.get(name, racing.FACT_ID_BASE), protected=racing.CSV_SOURCE,
         )
         new = materialize(new, f"weekly-{name}")
+        if spec.partition:  # what Silver cannot hold is not published either
+            lake.set_aside_unplaced(spec, new)
+            new = files.with_partition_value(new, spec.partition)
         lake.append(spec, new)
         topics.publish(topics.as_messages(new, spec.topic_key), f"{topic_root}/{spec.topic}" if not servers else spec.topic, servers)
         published[spec.qualified] = new.count()
@@ -250,8 +267,8 @@ def republish(lake: Lake, topic_root: str, names: Iterable[str] = ORDER[:4], ser
 # ---------------------------------------------------------------- Gold
 
 
-def build_gold(lake: Lake, house: Warehouse, first_year: int = 2012, last_year: int = 2030) -> None:
-    """Recreate the Gold schemas and load the ten tables with final types."""
+def build_gold(lake: Lake, house: Warehouse, first_year: int | None = None, last_year: int | None = None) -> None:
+    """Recreate the Gold schemas and load the ten tables with final types; a range of years only where it is passed."""
     for area in ("dimensions", "facts"):
         house.recreate_schema(area)
     for spec in racing.TABLES.values():
@@ -260,7 +277,7 @@ def build_gold(lake: Lake, house: Warehouse, first_year: int = 2012, last_year:
 
 
 def consume_topics(
-    house: Warehouse, topic_root: str, checkpoints: str, servers: str | None = None, timeout: int = 3600
+    house: Warehouse, topic_root: str, checkpoints: str, servers: str | None = None, timeout: int | None = None
 ) -> dict[str, int]:
     """Insert published rows that Gold does not hold; returns the inserted rows per table.
 

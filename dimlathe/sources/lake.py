@@ -87,3 +87,8 @@ class Lake:
     def set_aside(self, spec: TableSpec, df: DataFrame) -> None:
         """Keep rows that cannot be merged, for repair and a later load."""
         df.write.mode("append").parquet(f"{self.root}/quarantine/{spec.name}")
+
+    def set_aside_unplaced(self, spec: TableSpec, df: DataFrame) -> None:
+        """Keep rows without a partition value, which no partitioned write can place."""
+        lost = df.where(F.col(spec.partition).isNull())
+        lost.write.mode("append").parquet(f"{self.root}/quarantine/unplaced/{spec.name}")

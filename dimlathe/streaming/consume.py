@@ -95,8 +95,8 @@ def table_sink(warehouse: Warehouse, table: str, key: Sequence[str], first_by: S
     return store
 
 
-def drain(rows: DataFrame, checkpoint: str, sink: Sink, timeout: int = 3600) -> int:
-    """Run a stream over everything not yet consumed, then stop; returns the inserted rows.
+def drain(rows: DataFrame, checkpoint: str, sink: Sink, timeout: int | None = None) -> int:
+    """Run a stream over everything not yet consumed, then stop; returns the inserted rows. No time limit unless one is given.
 
     The position is committed to ``checkpoint`` after the sink has stored the batch.
     """
@@ -111,7 +111,9 @@ def drain(rows: DataFrame, checkpoint: str, sink: Sink, timeout: int = 3600) ->
         .trigger(availableNow=True)
         .start()
     )
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"topic not drained within {timeout} s")
     return sum(inserted)
@@ -128,7 +130,7 @@ class Subscription:
 
 def consume_all(
     spark: SparkSession, subscriptions: Iterable[Subscription], checkpoints: str, servers: str | None = None,
-    timeout: int = 3600,
+    timeout: int | None = None,
 ) -> dict[str, int]:
     """Drain dimensions, then facts; returns the inserted rows per table."""
     inserted = {}
