@@ -1,12 +1,14 @@
 """Personal data: patterns, and terms that would give protected entities away.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers. Each distinct value is a protected entity.
-Blanking it does not help if words around it still single it out, so co-occurrence in the corpus measures how
+Blanking it does not help if other words of the text still single it out, so co-occurrence in the corpus measures how
 strongly a term reveals an entity: the pointwise mutual information of term and entity over the information content
-of the entity, log(c N / (n_t n_e)) / log(N / n_e), which is 1 for a term that occurs with this entity only. Terms over
-a threshold are generalised in the entity's documents, those over a higher one removed.
+of the entity, log(c N / ((n_t + s) n_e)) / log(N / n_e), which nears 1 for a term that occurs with this entity only. Terms over
+a threshold are generalised in the entity's texts, those over a higher one removed.
 
-``c`` and ``n_e`` count distinct contexts, so copies of one document are no evidence; ``n_t`` counts documents of the whole corpus.
+``c``, ``n_e``, ``n_t`` and ``N`` all count distinct whole texts of the corpus, so copies of one text are no evidence. The
+smoothing ``s`` stands for unseen texts that hold the term without the entity: entities and terms of a single text are judged
+too, the more carefully the smaller the corpus is.
 
 Native: built-in expressions only.
 """
@@ -40,13 +42,13 @@ HINTS = {
 TERM = "term"
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
-#: Code points of context on either side of an entity.
-REACH = 80
-#: Distinct contexts in which a term must stand with an entity.
-SUPPORT = 3
+#: Texts added to a term's count as if they held it without the entity.
+SMOOTHING = 0.5
 #: Disclosure from which a term is generalised, and from which it is removed.
 GENERALISE, REMOVE = 0.8, 0.95
 LETTERS = r"\p{L}+"
+#: Words of four letters and more are terms.
+WORDS = r"(?<![^\P{L}])\p{L}{4,}"
 SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 
@@ -113,45 +115,62 @@ def _entity(span: Column) -> Column:
     return F.concat(span["kind"], F.lit(":"), F.lower(span["value"]))
 
 
+def _digest(text: str) -> dict[str, Column]:
+    """128 bits by which texts are told apart."""
+    return {"__d1": F.xxhash64(text), "__d2": F.xxhash64(F.lit(1), text)}
+
+
+def _terms(text: str) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(WORDS), F.lit(0)), F.lower))
+
+
 def disclosing(docs: DataFrame) -> DataFrame:
-    """doc_id, generalised and removed: the terms to treat in the documents that hold a protected entity.
+    """__d1, __d2 (a text's digest), generalised and removed: the terms to treat in a text that holds a protected entity.
 
-    Documents without such terms have no row. Every document counts towards the frequency of terms.
+    Texts without such terms have no row. Counts are summed before they are shuffled. A pair of entity and term is formed only
+    where the term is rare enough for its disclosure to reach ``GENERALISE`` in all texts of the entity; as ``c`` is at most
+    ``n_e``, no pair that reaches it is left out.
     """
-    read = pick(docs, "doc_id", "text").withColumn("text", whole_text())
+    key = ["__d1", "__d2"]
+    read = pick(docs, "text").withColumn("text", whole_text()).withColumns(_digest("text"))
     # An outer explode: a filter on the spans would be pushed into the scan with the whole search inlined.
-    found = base_spans(read).withColumn("spans", F.concat(*KINDS))
-    each = found.select("doc_id", "text", F.explode_outer("spans").alias("span")).where("span IS NOT NULL")
-    before = F.substring("text", F.greatest(F.col("span.start") - REACH, F.lit(0)).cast("int") + 1, F.least(F.col("span.start"), F.lit(REACH)).cast("int"))
-    after = F.substring("text", F.col("span.end").cast("int") + 1, F.lit(REACH))
-    window = F.concat(before, F.lit("\n"), after)
-    contexts = materialize(
-        each.select("doc_id", _entity(F.col("span")).alias("entity"), F.xxhash64(window).alias("context"),
-                    F.regexp_extract_all(window, F.lit(r"(?<![^\P{L}])\p{L}{4,}"), F.lit(0)).alias("terms")),
-        "pii-contexts",
-    )
-    distinct = contexts.groupBy("entity", "context").agg(F.first("terms").alias("terms"))
-    of_entity = distinct.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT)
-    pairs = (
-        distinct.select("entity", F.explode(F.array_distinct(F.transform("terms", F.lower))).alias("term"))
-        .groupBy("entity", "term").agg(F.count("*").alias("c")).where(F.col("c") >= SUPPORT)
-    )
-    pairs = materialize(pairs.join(of_entity, "entity"), "pii-pairs")
-    if pairs.isEmpty():  # no term has the support to be judged
-        return docs.sparkSession.createDataFrame([], "doc_id long, generalised array<string>, removed array<string>")
-    # Spark broadcasts the written terms if they are small, and shuffles both sides if not.
-    terms = materialize(pairs.select("term").distinct(), "pii-terms")
-    words = read.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0)))).alias("term"))
-    held = words.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
-    total = read.agg(F.count("*").alias("n")).scalar()
-    n = total.cast("double")
-    information = F.ln(F.greatest(n, F.col("n_e")) / F.col("n_e"))
-    mutual = F.ln(F.col("c") * n / (F.greatest("n_t", "c") * F.col("n_e")))
-    judged = pairs.join(held, "term").withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
-    judged = judged.where(F.col("disclosure") >= GENERALISE)
-    holders = contexts.select("doc_id", "entity").distinct().join(judged, "entity")
+    found = base_spans(read).withColumn("entities", F.array_distinct(F.transform(F.concat(*KINDS), _entity)))
+    listed = found.select(*key, F.explode_outer(F.when(F.size("entities") > 0, F.array("entities"))).alias("entities"), "text")
+    listed = listed.where("entities IS NOT NULL").select(*key, "entities", _terms("text").alias("terms"))
+    holders = materialize(materialize(listed, "pii-listed").dropDuplicates(key), "pii-holders")
+    of_entity = holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    held = materialize(holders.select(*key, F.explode("entities").alias("entity")).join(of_entity, "entity"), "pii-entities")
+    if held.isEmpty():
+        return holders.select(*key, F.col("terms").alias("generalised"), F.col("terms").alias("removed"))
+    # Each copy of a text counts 1 / copies, so that sums need no distinct texts; rounding undoes what is lost in the last bits.
+    copies = materialize(read.groupBy(*key).agg(F.count("*").alias("copies")), "pii-copies")
+    n = F.lit(float(copies.count()))
+    repeated = materialize(copies.where("copies > 1").toDF("__e1", "__e2", "copies"), "pii-repeated")
+    weighed = read.join(repeated, (F.col("__d1") == F.col("__e1")) & (F.col("__d2") == F.col("__e2")), "left")
+    words = weighed.select(F.explode(_terms("text")).alias("term"), (1 / F.coalesce("copies", F.lit(1))).alias("share"))
+    of_term = words.groupBy("term").agg(F.greatest(F.round(F.sum("share")), F.lit(1.0)).alias("n_t"))
+
+    def reach(n_e: Column) -> Column:
+        """The largest n_t + s with which a term can still be generalised: log(N / (n_t + s)) = GENERALISE log(N / n_e)."""
+        return n_e * F.pow(n / n_e, F.lit(1 - GENERALISE)) * (1 + 1e-9)
+
+    # Spark broadcasts written tables if they are small, and shuffles both sides if not.
+    top = held.groupBy(*key).agg(F.max(reach(F.col("n_e"))).alias("reach"))
+    most = held.agg(F.max(reach(F.col("n_e"))).alias("m")).first()["m"]
+    rare = materialize(of_term.where(F.col("n_t") + SMOOTHING <= F.lit(most)), "pii-terms")
+    texts = holders.select(*key, F.explode("terms").alias("term")).join(rare, "term").join(top, key)
+    texts = texts.where(F.col("n_t") + SMOOTHING <= F.col("reach")).select(*key, "term", "n_t")
+    pairs = texts.join(held, key).where(F.col("n_t") + SMOOTHING <= reach(F.col("n_e")))
+    pairs = materialize(pairs.select(*key, "entity", "term", "n_e", "n_t"), "pii-pairs")
+    counted = pairs.groupBy("entity", "term").agg(F.count("*").alias("c"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    information = F.ln(n / F.col("n_e"))
+    mutual = F.ln(F.col("c") * n / ((F.col("n_t") + SMOOTHING) * F.col("n_e")))
+    judged = counted.withColumn("disclosure", F.when(information > 0, mutual / information).otherwise(0.0))
+    judged = materialize(judged.where(F.col("disclosure") >= GENERALISE).select("entity", "term", "disclosure"), "pii-judged")
+    # Terms go to the texts that hold both, so a frequent entity does not carry each of its terms to each of its texts.
+    treated = pairs.join(judged, ["entity", "term"]).groupBy(*key, "term").agg(F.max("disclosure").alias("disclosure"))
     high = F.col("disclosure") >= REMOVE
-    return holders.groupBy("doc_id").agg(
+    return treated.groupBy(*key).agg(
         F.collect_set(F.when(~high, F.col("term"))).alias("generalised"), F.collect_set(F.when(high, F.col("term"))).alias("removed")
     )
 
@@ -159,12 +178,12 @@ def disclosing(docs: DataFrame) -> DataFrame:
 def spans(docs: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, text, the columns ``keep``, a column of spans per kind, and ``term``: spans of disclosing terms that touch no other span.
 
-    One row per row of ``docs``; a null text is empty and has no spans; rows of one id share their terms. Other columns are left out.
+    One row per row of ``docs``; a null text is empty and has no spans; rows of one text share their terms, whatever their ids. Other
+    columns are left out.
     """
     terms = materialize(disclosing(docs), "pii-disclosing")
-    read = pick(docs, "doc_id", "text", *keep).withColumn("text", whole_text())
-    named = terms.select(F.col("doc_id").alias("__id"), "generalised", "removed")
-    joined = read.join(named, F.col("doc_id") == F.col("__id"), "left").drop("__id")
+    read = pick(docs, "doc_id", "text", *keep).withColumn("text", whole_text()).withColumns(_digest("text"))
+    joined = read.join(terms, ["__d1", "__d2"], "left").drop("__d1", "__d2")
     df = located(base_spans(joined), "text", LETTERS, F.col("generalised").isNotNull(), TERM)
     df = df.withColumn("__all", F.concat(*KINDS))
     listed = F.array_union("generalised", "removed")

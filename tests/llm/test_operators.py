@@ -154,6 +154,17 @@ def test_disclosing_terms(spark):
     assert "zanzibar" not in clean and "common" in clean
 
 
+def test_rare_entities_are_judged_by_whole_texts(spark):
+    gap = "plain filler words " * 20  # far from the entity
+    rows = [(1, f"write to one@x.org {gap} Quetzal"), (1, f"write to one@x.org {gap} Quetzal"), (None, f"plain words of two@x.org {gap} zephyr")]
+    rows += [(i, f"write plain filler words number {i} zephyr" if i < 40 else f"write plain filler words {i}") for i in range(10, 700)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r["doc_id"], s["value"]) for r in pii.spans(frame).collect() for s in r["term"]}
+    assert found == {(1, "Quetzal")}  # once in the corpus and with this address; zephyr stands in 30 other texts
+    clean = [r["text"] for r in pii.sanitise(frame).where("doc_id = 1").collect()]
+    assert len(clean) == 2 and all("Quetzal" not in t and "filler" in t for t in clean)
+
+
 def test_html_extraction(spark):
     pages = duckdb.sql(f"SELECT page_id, html FROM '{SMALL}/pages.parquet'").fetchall()
     model = html_extract.Model([h for _, h in pages[:25]])
