@@ -12,6 +12,10 @@
    descends both at once; a pair of nodes is pruned when its largest possible overlap is too small, or when all
    members are of one component already. Pairs that come through are verified on the sets.
 
+5. *Links.* ``linked`` also counts every document's links. All links lie within a component, so the classes of each component are dealt
+   to blocks of about ``BLOCK`` by size and hash. A task takes two blocks, descends their signature trees without pruning by
+   component, counts overlaps on the sets and sums up what each class is linked with. ``class_pairs`` gives the pairs themselves.
+
 A link is lost only if a bound fails, and all bounds are necessary conditions; so the components are exact (up to 64-bit hash
 collisions). Verified pairs, not all pairs, are what tasks emit.
 """
@@ -39,6 +43,8 @@ SLOT_BLOCK = 1 << 14
 BITS = 512
 #: Members of a tree's leaf, children of a node, and members of one task's node, about.
 LEAF, FAN, NODE = 8, 4, 512
+#: Classes of a block whose links are counted, about, and tokens that a step of counting takes.
+BLOCK, STEP = 256, 4096
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -353,14 +359,158 @@ def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, percen
     return dealt.mapInPandas(search, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row.
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each set of ``one`` shares with each of ``two``: products of incidence matrices, ``STEP`` hashes at a time."""
+    out = np.zeros((len(one), len(two)), np.int64)
+    left, right = np.concatenate(one), np.concatenate(two)
+    row, col = np.repeat(np.arange(len(one)), [len(x) for x in one]), np.repeat(np.arange(len(two)), [len(x) for x in two])
+    shared = np.intersect1d(left, right)
+    at, bt = np.searchsorted(shared, left), np.searchsorted(shared, right)
+    at_in, bt_in = (shared[np.minimum(x, len(shared) - 1)] == y if len(shared) else np.zeros(len(y), bool) for x, y in ((at, left), (bt, right)))
+    row, at, col, bt = row[at_in], at[at_in], col[bt_in], bt[bt_in]
+    order, order2 = np.argsort(at, kind="stable"), np.argsort(bt, kind="stable")
+    row, at, col, bt = row[order], at[order], col[order2], bt[order2]
+    for k in range(0, len(shared), STEP):
+        a, b = np.searchsorted(at, (k, k + STEP)), np.searchsorted(bt, (k, k + STEP))
+        x, y = np.zeros((len(one), STEP), np.float32), np.zeros((len(two), STEP), np.float32)
+        x[row[a[0] : a[1]], at[a[0] : a[1]] - k] = 1
+        y[col[b[0] : b[1]], bt[b[0] : b[1]] - k] = 1
+        out += (x @ y.T).astype(np.int64)
+    return out
+
+
+def _dealt(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+    """Rows for tasks: the classes of two blocks of one component, with their sets. Components of one class have no rows."""
+    several = classes.groupBy("component").agg(F.count("*").alias("k")).where("k > 1").select(F.col("component").alias("g"))
+    step = -float(np.log(percent / 100)) / 2
+    live = classes.join(several, F.col("component") == F.col("g"), "left_semi").withColumn("s", F.floor(F.ln("n") / step).cast("int"))
+    live = materialize(live, "ngram-live")
+    sized = live.groupBy("component", "s").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"), F.min("n").alias("low"), F.max("n").alias("high"))
+    sized = materialize(sized, "ngram-sized")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        for batch in batches:
+            sets = [shingles(t, words).tobytes() for t in batch["text"]]
+            yield pd.DataFrame({"digest": [hashlib.blake2b(x, digest_size=16).digest() for x in sets], "set": sets})
+
+    wanted = live.select(F.col("rep").alias("__w")).distinct()
+    read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    read = read.join(wanted, F.col("doc_id") == F.col("__w"), "left_semi")
+    sets = read.mapInPandas(cut, "digest binary, set binary").dropDuplicates(["digest"])
+    members = live.join(sets, "digest").join(sized.select("component", "s", "salts"), ["component", "s"])
+    members = materialize(members.withColumn("k", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).drop("salts"), "ngram-blocks")
+    blocks = sized.select("component", "s", "low", "high", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("k"))
+    one, two = blocks.toDF("component", "s1", "low1", "high1", "k1"), blocks.toDF("component", "s2", "low2", "high2", "k2")
+    near = one.join(two, "component").where("s1 < s2 OR s1 = s2 AND k1 <= k2").where(F.col("high1") * 100 >= F.col("low2") * percent)
+    near = near.select("component", "s1", "k1", "s2", "k2")
+    sides = near.select("*", F.col("s1").alias("s"), F.col("k1").alias("k"), F.lit(0).alias("side")).union(
+        near.where("s1 <> s2 OR k1 <> k2").select("*", "s2", "k2", F.lit(1))
+    )
+    keys = ["component", "s1", "k1", "s2", "k2"]
+    spark = classes.sparkSession
+    parts = max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism) * 2
+    dealt = members.join(sides, ["component", "s", "k"]).select(*keys, "side", "digest", "rep", "n", "bits", "copies", "set")
+    return dealt.repartition(parts, *keys).sortWithinPartitions(*keys, "side", "n", "digest")
+
+
+def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
+    """The verified pairs of classes (a, b: digests), or per class and task the documents of other classes that it is linked with."""
+    keys = ["component", "s1", "k1", "s2", "k2"]
+
+    def linked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Places of linked classes in the rows of one task, each pair once."""
+        split = len(rows) - int(rows["side"].sum())
+        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+        sizes, names = rows["n"].to_numpy(np.int64), np.arange(len(rows))
+        one = Tree(sizes[:split], bits[:split], names[:split])
+        alone = split == len(rows)
+        two = one if alone else Tree(sizes[split:], bits[split:], names[split:])
+        if not split or not len(two.levels[0][1]):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        i, j = traverse(one, two, percent)
+        if alone:
+            i, j = i[i < j], j[i < j]
+        else:
+            j = j + split
+        if not len(i):
+            return i, j
+        x, y = np.unique(i), np.unique(j)
+        sets = rows["set"].tolist()
+        both = overlaps([np.frombuffer(sets[k], np.uint64) for k in x], [np.frombuffer(sets[k], np.uint64) for k in y])
+        common = both[np.searchsorted(x, i), np.searchsorted(y, j)]
+        close = common * 100 >= (sizes[i] + sizes[j] - common) * percent
+        return i[close], j[close]
+
+    def told(rows: pd.DataFrame) -> pd.DataFrame:
+        i, j = linked(rows)
+        names = rows["digest"].to_numpy()
+        if pairs:
+            return pd.DataFrame({"a": names[i], "b": names[j]})
+        copies, total = rows["copies"].to_numpy(np.int64), np.zeros(len(rows), np.int64)
+        np.add.at(total, i, copies[j])
+        np.add.at(total, j, copies[i])
+        return pd.DataFrame({"digest": names[total > 0], "links": total[total > 0]})
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Rows come sorted by key; what may go on in the next batch is held over.
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            ids = batch[keys].to_numpy(np.int64)
+            if not len(ids):
+                continue
+            starts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]).any(axis=1), [True])))
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                if held and (held[-1][keys].iloc[-1].to_numpy(np.int64) != ids[a]).any():
+                    yield told(pd.concat(held, ignore_index=True))
+                    held = []
+                held.append(batch.iloc[a:b])
+        if held:
+            yield told(pd.concat(held, ignore_index=True))
+
+    return dealt.mapInPandas(search, "a binary, b binary" if pairs else "digest binary, links long")
+
+
+def _classes(docs: DataFrame, joined: DataFrame, made: DataFrame) -> DataFrame:
+    """digest, rep, component, n, bits and copies (how many documents) of every class of equal sets."""
+    tops = joined.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("node")).agg(F.min("component_id").alias("component"))
+    full = made.where("n > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("copies")
+    )
+    return materialize(full.join(tops, F.col("rep") == F.col("node")).drop("node"), "ngram-linked")
+
+
+def class_pairs(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """a, b: all linked pairs of different classes by their digests, each pair once. With the classes' members these are all links."""
+    made = materialize(profiles(docs, percent, words), "ngram-profiles")
+    return _searched(_dealt(_classes(docs, join(docs, percent, words, made), made), docs, percent, words), percent, True)
+
+
+def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """The rows of ``join`` and n_links: with how many other rows each is linked, exactly.
+
+    Rows of equal sets are linked with each other. A row without words or doc_id has no links.
+    """
+    made = materialize(profiles(docs, percent, words), "ngram-profiles")
+    joined = materialize(join(docs, percent, words, made), "ngram-joined")
+    classes = _classes(docs, joined, made)
+    others = _searched(_dealt(classes, docs, percent, words), percent, False).groupBy("digest").agg(F.sum("links").alias("others"))
+    counts = classes.join(others, "digest", "left").select("digest", "component", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    with_id = made.select("doc_id", "n", "digest").join(counts, "digest", "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+    return with_id.unionByName(joined.where("doc_id IS NULL").withColumn("n_links", F.lit(0).cast("long")))
+
+
+def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, made: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row. ``made`` are the rows' profiles, where they are there already.
 
     A null or wordless text has the empty set and is its own component. Rows with equal ids count as documents of their
     own with one name: links of any of them hold for the id. A null doc_id gives a row with a null component that is linked with
     nothing. Other columns are left out. An empty table gives no rows.
     """
-    made = materialize(profiles(docs, percent, words), "ngram-profiles")
+    made = materialize(profiles(docs, percent, words), "ngram-profiles") if made is None else made
     full = made.where("n > 0")
     classes = materialize(
         full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
@@ -396,4 +546,4 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
-    return join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return linked(spark.read.parquet(f"{sf_dir}/documents.parquet"))

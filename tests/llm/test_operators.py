@@ -114,6 +114,34 @@ def test_ngram_join_equals_brute_force(spark, docs, nothing):
     assert ngram_join.join(nothing).count() == 0
 
 
+def test_links_within_a_family_are_all_counted(spark, docs, nothing):
+    random.seed(8)
+    base = [[f"w{random.randrange(4000)}" for _ in range(n)] for n in (60, 400)]
+    rows = []
+    for i in range(700):
+        words = list(base[i % 2])
+        for _ in range(random.randrange(1 + len(words) // 60)):
+            words[random.randrange(len(words))] = f"new{random.randrange(99)}"
+        rows.append((i, " ".join(words)))
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in (t.split() for _, t in rows)]
+    want, pairs = Counter(), set()
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if 100 * both >= 85 * (len(a) + len(sets[j]) - both):
+                want.update((i, j))
+                if a != sets[j]:
+                    pairs.add(frozenset((frozenset(a), frozenset(sets[j]))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.linked(frame).collect()
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: want[i] for i in range(700)}
+    assert sorted(tuple(r)[:3] for r in got) == sorted(brute_components(rows, 85))
+    assert ngram_join.class_pairs(frame).count() == len(pairs) > 1000
+    odd = Counter((r["doc_id"], r["n_links"]) for r in ngram_join.linked(docs).collect())
+    assert odd == Counter([(1, 2), (2, 2), (2, 2), (3, 0), (4, 0), (5, 0), (6, 0), (7, 0), (None, 0)])
+    assert ngram_join.linked(nothing).count() == 0
+
+
 def test_tree_finds_every_close_pair():
     import numpy as np
 
