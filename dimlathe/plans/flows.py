@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimlathe.functions.calendar import calendar
+from dimlathe.functions.calendar import FIRST_DAY, LAST_DAY, calendar
 from dimlathe.functions.coerce import (
     duration_to_millis,
     seconds_to_millis,
@@ -90,12 +90,19 @@ def resolve_csv(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
     return rows
 
 
+def _race_days(wide: DataFrame) -> tuple[str, str]:
+    """The calendar's usual range, extended by whole years to hold all races of the file."""
+    day = F.col("date").cast("string").try_cast("date")
+    low, high = wide.agg(F.year(F.min(day)), F.year(F.max(day))).first()
+    return min(FIRST_DAY, f"{low or 9999:04d}-01-01"), max(LAST_DAY, f"{high or 0:04d}-12-31")
+
+
 def load_csv(
     lake: Lake, csv: str, load_ts: datetime, first_day: str | None = None, last_day: str | None = None, multi_line: bool = False
 ) -> None:
     """All ten Silver tables from the wide file. Rows without a year are set aside; ``multi_line`` reads quoted line breaks."""
     wide = bronze(lake.spark, csv, multi_line)
-    span = (first_day, last_day) if first_day else ()
+    span = (first_day, last_day) if first_day else _race_days(wide)
     lake.overwrite(racing.TIME, calendar(lake.spark, *span))
     for name in ORDER:
         table = racing.CSV_TABLES[name]
@@ -113,15 +120,16 @@ def load_csv(
 
 
 def flatten(
-    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool = False, exact_times: bool = False
+    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool | None = None, exact_times: bool = False
 ) -> DataFrame:
     """Typed rows of one JSON resource, with natural keys and no ids yet.
 
     ``exact_times`` computes lap times with decimals and reads pit stops of a minute or more; without
-    it a lap time may lose a millisecond to truncation and such a stop has no duration.
+    it a lap time may lose a millisecond to truncation and such a stop has no duration. Each file's layout is found out;
+    ``one_per_line`` requires a page per line.
     """
     spec = resource.spec
-    pages = envelopes.read_envelopes(spark, path, resource.schema, one_per_line)
+    pages = envelopes.read_pages(spark, path, resource.schema, one_per_line)
     if resource.once_per:
         array, fields = resource.levels[0]
         found = envelopes.records(pages, array, fields, position="__at")
@@ -166,7 +174,7 @@ def resolve_api(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
     return rows
 
 
-def _batch(lake: Lake, landing: str, name: str, one_per_line: bool, exact_times: bool) -> DataFrame:
+def _batch(lake: Lake, landing: str, name: str, one_per_line: bool | None, exact_times: bool) -> DataFrame:
     resource = racing.RESOURCES[name]
     rows = flatten(lake.spark, f"{landing}/{name}", resource, one_per_line, exact_times)
     rows = resolve_api(rows, resource.spec, lake) if resource.spec.foreign else rows
@@ -181,7 +189,7 @@ def foreign_key_report(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def backfill(
     lake: Lake, landing: str, load_ts: datetime, names: Iterable[str] = ORDER, rekey: bool = False,
-    one_per_line: bool = False, exact_times: bool = False,
+    one_per_line: bool | None = None, exact_times: bool = False,
 ) -> None:
     """Merge landed JSON into Silver. Rows of the wide file always win.
 
@@ -228,7 +236,7 @@ def backfill(
 
 def weekly(
     lake: Lake, landing: str, topic_root: str, load_ts: datetime, names: Iterable[str] = ORDER,
-    servers: str | None = None, one_per_line: bool = False, exact_times: bool = False,
+    servers: str | None = None, one_per_line: bool | None = None, exact_times: bool = False,
 ) -> dict[str, int]:
     """Add the rows not seen before to Silver and publish them; returns the published rows per table."""
     published = {}

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dimlathe.session import materialize
 from dimlathe.sources.files import INGEST, with_ingest_order
 
 
@@ -25,6 +26,41 @@ def read_envelopes(spark: SparkSession, path: str, schema: T.StructType | str, o
     return with_ingest_order(spark.read.schema(schema).option("multiLine", not one_per_line).json(path))
 
 
+def page_layouts(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Per landed file: whether each line is a page (``lines``), whether it is one page (``single``), or neither."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    root = schema.fieldNames()[0]
+    texts = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where("trim(value) <> ''")
+    whole = F.from_json("value", schema)[root].isNotNull()
+    counted = texts.groupBy("file").agg(
+        F.count_if(whole).alias("whole"), F.count_if(~whole).alias("part"),
+        F.sum(F.regexp_count("value", F.lit(f'"{root}"\\s*:'))).alias("roots"),
+    )
+    lines = (F.col("part") == 0) & (F.col("roots") == F.col("whole"))
+    return counted.select("file", lines.alias("lines"), ((F.col("whole") == 0) & (F.col("roots") == 1)).alias("single"))
+
+
+def read_pages(spark: SparkSession, path: str, schema: T.StructType | str, one_per_line: bool | None = None) -> DataFrame:
+    """Landed pages with their ingest order, each file in its own layout, which is found out. A file in neither layout raises an
+    error, as does one that ``one_per_line`` forbids and a page that does not parse; so no page is lost unseen."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    layouts = materialize(page_layouts(spark, path, schema), "page-layouts")
+    fits = F.col("lines") if one_per_line else F.col("lines") | F.col("single")
+    wrong = [r["file"] for r in layouts.where(~fits).orderBy("file").limit(5).collect()]
+    if wrong:
+        raise ValueError(f"files that hold neither a page per line nor one page: {wrong}")
+
+    def read_as(lines: bool, files: str | list[str]) -> DataFrame:
+        return spark.read.schema(schema).option("mode", "FAILFAST").option("multiLine", not lines).json(files)
+
+    kinds = [r["lines"] for r in layouts.select("lines").distinct().collect()] or [True]
+    if len(kinds) == 1:
+        return with_ingest_order(read_as(kinds[0], path))
+    # Names of files only; Spark's driver lists them for any read.
+    both = [with_ingest_order(read_as(lines, [r["file"] for r in layouts.where(F.col("lines") == lines).collect()])) for lines in (True, False)]
+    return both[0].unionByName(both[1])
+
+
 def records(pages: DataFrame, array_path: str, fields: Mapping[str, str] | None = None, position: str | None = None) -> DataFrame:
     """One row per record of the array at ``array_path``.
 

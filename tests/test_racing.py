@@ -291,3 +291,30 @@ def test_views(world):
     # A standing without a constructor has no row in the inner-joined view.
     assert spark.table("driver_standings").count() == 6
     assert spark.table("constructor_standings").count() == 4
+
+
+def test_pages_of_both_layouts_are_read_whole(spark, folder):
+    def page(ref):
+        return {"MRData": {"total": "2", "CircuitTable": {"Circuits": [{"circuitId": ref, "circuitName": ref, "url": "u",
+                "Location": {"locality": "Town", "country": "Land", "lat": "1", "long": "2"}}]}}}
+
+    os.makedirs(f"{folder}/lines")
+    with open(f"{folder}/lines/a.json", "w") as out:
+        out.write(json.dumps(page("one")) + "\n" + json.dumps(page("two")) + "\n")
+
+    def refs(name):
+        return sorted(r.circuit_references for r in flows.flatten(spark, f"{folder}/{name}", racing.RESOURCES["circuit"]).collect())
+
+    assert refs("lines") == ["one", "two"]
+    with open(f"{folder}/lines/b.json", "w") as out:
+        json.dump(page("three"), out, indent=1)
+    assert refs("lines") == ["one", "three", "two"]
+    with open(f"{folder}/lines/b.json", "a") as out:  # a second page of many lines behind the first
+        json.dump(page("four"), out, indent=1)
+    with pytest.raises(ValueError, match="b.json"):
+        refs("lines")
+
+
+def test_calendar_holds_all_races_of_the_file(spark):
+    wide = spark.createDataFrame([("1950-05-13",), ("\\N",), ("2013-03-17",)], "date string")
+    assert flows._race_days(wide) == ("1950-01-01", "2030-12-31")
