@@ -1,10 +1,12 @@
-"""Document fingerprints as invertible Bloom lookup sketches of paragraph digests.
+"""Document fingerprints as invertible Bloom lookup sketches of digests of short pieces.
 
-A text's paragraphs are hashed to 64-bit digests that carry 20 bits of check of their other 44. Each digest goes into three cells, one in
+A text's lines are cut into pieces of a few dozen code points where their content says so, so an insertion changes the pieces
+around it only. Pieces are hashed to 64-bit digests: 36 bits of hash, 8 of length, 20 of check of the other 44. Each digest goes into three cells, one in
 each third of the table; a cell holds the XOR of its digests. Sketches of two versions are subtracted cell by cell, by XOR: what
 both hold cancels. Peeling then takes digests out of cells whose check says that they hold just one, until nothing is left;
 that yields the digests that differ. Where it gets stuck it is retried with larger sketches, and in the end on the
-plain digests. Likeness is the share of paragraphs that don't differ.
+plain digests. Likeness is the share of code points in pieces
+that don't differ.
 
 Native: built-in expressions only.
 """
@@ -19,8 +21,13 @@ from dimlathe.llm.common import parts_for, pick, whole_text
 
 #: Cells of the published fingerprint, and of each retry.
 CELLS = (48, 240, 1200, 6000)
-#: Paragraphs longer than this are cut.
-PIECE = 512
+#: Code points of a piece: at least (but at a line's end), at most where words or sentences end, at most anywhere. Below 256.
+LEAST, USUAL, MOST = 24, 72, 250
+#: A piece ends behind a mark, or a word that ends in one of some letters; where no word ends, behind one of some frequent characters.
+PIECES = (
+    rf"(?:.{{{LEAST},{USUAL}}}?(?:[.!?;:,\u3002\uff0c\uff01\uff1f\u3001]+\s*|[aehnory0-4\u00e9\u0430\u043e\u0435](?=\s)\s+|$)"
+    rf"|.{{{LEAST},{MOST - 1}}}?[aeio048\u306e\u306f\u3092\u306b\u7684\u662f\u4e86\u4e00\u0e32\u0e19]|.{{1,{USUAL}}})"
+)
 #: Rounds of peeling; each takes all single cells at once.
 ROUNDS = 24
 #: Rows of a bucket, about, in which a document finds the next one.
@@ -29,18 +36,20 @@ BUCKETS = 1024
 
 
 def paragraphs(text: Column) -> Column:
-    """Digests of the text's lines; long lines in pieces of ``PIECE`` code points; repeated ones are told apart by number.
-
-    Equal paragraphs get different digests by their place among equals, so counts in cells stay exact.
-    """
+    """Digests of the pieces of the text's lines; repeated ones are told apart later, by ``numbered``."""
     lines = F.filter(F.split(text, "\n", -1), lambda p: F.length(p) > 0)
-    pieces = F.flatten(
-        F.transform(
-            lines,
-            lambda p: F.when(F.length(p) <= PIECE, F.array(p)).otherwise(F.regexp_extract_all(p, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))),
-        )
-    )
-    return F.transform(pieces, lambda p: checked(F.xxhash64(p)))
+    pieces = F.flatten(F.transform(lines, lambda p: F.regexp_extract_all(p, F.lit("(?s)" + PIECES), F.lit(0))))
+    return F.transform(pieces, lambda p: sized(F.xxhash64(p), F.least(F.length(p), F.lit(255)).cast("long")))
+
+
+def sized(h: Column, length: Column) -> Column:
+    """A checked digest of a hash's upper 36 bits and a length."""
+    return checked(h.bitwiseAND(-1 << 28).bitwiseOR(F.shiftleft(length, 20)))
+
+
+def length_of(digest: str) -> str:
+    """SQL: the length in a digest."""
+    return f"(shiftrightunsigned({digest}, 20) & 255)"
 
 
 def checked(h: Column) -> Column:
@@ -60,7 +69,7 @@ def numbered(digests: str) -> Column:
             F.when((s["last"] == x) & (F.size(s["out"]) > 0), s["k"] + 1).otherwise(0).alias("k"),
             F.concat(
                 s["out"],
-                F.array(F.when((s["last"] == x) & (F.size(s["out"]) > 0), checked(F.xxhash64(x, s["k"] + 1))).otherwise(x)),
+                F.array(F.when((s["last"] == x) & (F.size(s["out"]) > 0), sized(F.xxhash64(x, s["k"] + 1), F.shiftrightunsigned(x, 20).bitwiseAND(255))).otherwise(x)),
             ).alias("out"),
         ),
         lambda s: s["out"],
@@ -104,18 +113,27 @@ def peel(difference: str, size: int) -> str:
       s -> IF(size(s.pure) = 0 AND forall(s.cells, x -> x = 0), array_remove(s.out, 0L), NULL))"""
 
 
-def differing(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
-    """How many paragraphs of two columns of digests differ, by the smallest sketch that peels. The columns' first
-    sketches are given."""
+def difference(a: str, b: str, sketch_a: str, sketch_b: str) -> str:
+    """SQL: the digests in which two columns of digests differ, by the smallest sketch that peels. The columns' first sketches are
+    given. A sketch with fewer cells than digests that must differ cannot peel and is not tried."""
     tries = [peel(subtract(sketch_a, sketch_b), CELLS[0])]
-    tries += [peel(subtract(sketch(a, m), sketch(b, m)), m) for m in CELLS[1:]]
-    plain = f"size(array_except({a}, {b})) + size(array_except({b}, {a}))"
-    return F.expr(f"coalesce({', '.join(f'size({t})' for t in tries)}, {plain})")
+    tries += [f"IF(abs(size({a}) - size({b})) <= {m}, {peel(subtract(sketch(a, m), sketch(b, m)), m)}, NULL)" for m in CELLS[1:]]
+    return f"coalesce({', '.join(tries)}, concat(array_except({a}, {b}), array_except({b}, {a})))"
+
+
+def differing(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
+    """How many digests of two columns differ."""
+    return F.expr(f"size({difference(a, b, sketch_a, sketch_b)})")
+
+
+def weight(digests: str) -> str:
+    """SQL: the code points of all pieces of an array of digests."""
+    return f"aggregate({digests}, 0L, (sum, d) -> sum + {length_of('d')})"
 
 
-def likeness(differ: Column, a: str, b: str) -> Column:
-    total = F.size(a) + F.size(b)
-    return F.when(total == 0, 1.0).otherwise(1 - differ / total)
+def likeness(differ: str, a: str, b: str) -> Column:
+    """The share of code points that two columns' pieces have in common."""
+    return F.expr(f"IF(size({a}) + size({b}) = 0, 1.0D, 1 - {weight(differ)} / ({weight(a)} + {weight(b)}))")
 
 
 def as_text(cells: str, digests: str, n_chars: str) -> Column:
@@ -195,8 +213,8 @@ def compare(docs: DataFrame) -> DataFrame:
         "doc_id", "n_chars", "edited_sha256",
         as_text("sp", "p", "n_chars").alias("fingerprint"),
         as_text("sq", "q", "edited_chars").alias("edited_fingerprint"),
-        likeness(differing("p", "q", "sp", "sq"), "p", "q").alias("near_edited"),
-        likeness(differing("p", "r", "sp", "sr"), "p", "r").alias("near_next"),
+        likeness(difference("p", "q", "sp", "sq"), "p", "q").alias("near_edited"),
+        likeness(difference("p", "r", "sp", "sr"), "p", "r").alias("near_next"),
     )
 
 

@@ -253,6 +253,20 @@ def test_fingerprints(docs, nothing):
     assert max(r["near_next"] for r in rows if r["doc_id"] == 2) == 1.0
 
 
+def test_one_line_texts_keep_their_likeness(spark):
+    random.seed(3)
+
+    def line(n):
+        return " ".join("".join(random.choice("abcdefghinorst") for _ in range(random.randint(2, 9))) for _ in range(n))
+
+    texts = [line(n) for n in (60, 80, 300, 900, 60)] + ["".join(random.choice("abcdefghijklmnop") for _ in range(3000))]
+    rows = fingerprints.compare(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(0.5 < r["near_edited"] < 0.9 for r in rows) and all(r["near_next"] < 0.2 for r in rows)
+    pairs = [(t, t[:40] + "Q" + t[40:]) for t in texts if len(t) > 1000]  # one character more near the start of a long line
+    cut = spark.createDataFrame(pairs, "a string, b string").select(*(fingerprints.paragraphs(F.col(c)).alias(c) for c in "ab")).collect()
+    assert all(len(set(r["a"]) & set(r["b"])) > 0.8 * len(set(r["a"])) for r in cut)
+
+
 def test_sketches_peel_or_grow(spark):
     one = [checked(x) for x in range(4000)]
     two = one[:3000] + [checked(x) for x in range(9000, 9400)]
