@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from dimlathe.llm import (
-    byte_bpe, fingerprints, html_extract, license_scan, mixing, ngram_join, pii, quality_rules, sharding, warc,
+    byte_bpe, centroid_clusters, fingerprints, html_extract, license_scan, mixing, ngram_join, pii, quality_rules, sharding, warc,
 )
 
 
@@ -20,6 +20,7 @@ def queries():
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
+        "op11_centroid_clusters": centroid_clusters.op11_centroid_clusters,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -28,4 +29,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_license_scan": license_scan.OP1_SQL,
         "op3_quality_rules": quality_rules.OP3_SQL,
+        "op11_centroid_clusters": centroid_clusters.OP11_SQL,
     }
