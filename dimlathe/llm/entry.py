@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from dimlathe.llm import (
-    byte_bpe, centroid_clusters, fingerprints, html_extract, license_scan, mixing, ngram_join, pii, quality_rules, sharding, warc,
+    byte_bpe, centroid_clusters, fingerprints, html_extract, license_scan, mixing, ngram_join, pii, quality_rules, sharding,
+    spelling_variants, warc,
 )
 
 
@@ -21,6 +22,7 @@ def queries():
         "op9_warc": warc.op9_warc,
         "op10_sharding": sharding.op10_sharding,
         "op11_centroid_clusters": centroid_clusters.op11_centroid_clusters,
+        "op12_spelling_variants": spelling_variants.op12_spelling_variants,
         "pipeline": corpus_pipeline.run,
     }
 
