@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from dimlathe.llm import (
     byte_bpe, centroid_clusters, fingerprints, html_extract, license_scan, mixing, ngram_join, pii, quality_rules, sharding,
-    spelling_variants, warc,
+    spelling_variants, toxicity, warc,
 )
 
 
@@ -23,6 +23,7 @@ def queries():
         "op10_sharding": sharding.op10_sharding,
         "op11_centroid_clusters": centroid_clusters.op11_centroid_clusters,
         "op12_spelling_variants": spelling_variants.op12_spelling_variants,
+        "op13_toxicity": toxicity.op13_toxicity,
         "pipeline": corpus_pipeline.run,
     }
 
