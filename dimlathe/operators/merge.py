@@ -142,12 +142,14 @@ def replace_unprotected(
     lineage: str = "source",
     rekey: bool = True,
     scope: Sequence[str] | None = None,
+    floor: int | Column = 0,
 ) -> DataFrame:
     """Keep protected rows, drop the others, add batch rows whose key no protected row has.
 
     With ``scope`` only rows whose values of these columns the batch holds are replaced; the rest of the table stays.
     A NULL key part equals a NULL key part. ``rekey=True`` numbers the whole result anew; ``rekey=False`` numbers only
     rows whose key was not stored: added rows take over the stored number of their key, so published keys stay valid.
+    When ``existing`` is only the part of a table that the batch touches, ``floor`` is the largest number of the whole.
     """
     safe = F.coalesce(F.col(lineage).isin(*protected), F.lit(False))
     kept, replaced = existing.where(safe), existing.where(~safe)
@@ -168,7 +170,9 @@ def replace_unprotected(
     known = added.join(stored, same & (F.col("__place") == 1), "left").drop("__place", *(f"__k{i}" for i in range(len(keys))))
     known = materialize(known, "replaced")
     again = known.where("__stored IS NOT NULL").withColumnRenamed("__stored", surrogate)
-    fresh = append_keys(known.where("__stored IS NULL").drop("__stored"), existing, surrogate, key_order)
+    floor = F.lit(floor) if isinstance(floor, int) else floor
+    start = F.greatest(max_key(existing, surrogate), floor)
+    fresh = dense_key(known.where("__stored IS NULL").drop("__stored"), surrogate, key_order, start=start)
     return align(align(kept, again), fresh)
 
 

@@ -226,12 +226,18 @@ def backfill(
             batch = files.with_partition_value(batch, spec.partition)
             leading = {"laps": ["year", "race_key", "lap", "lap_position"], "pitstops": ["year", "race_key", "stop"]}
             rest = [c for c in spec.columns if c not in leading[name] and c != spec.surrogate]
+            # A table numbered by partition, like one that keeps its numbers, changes in the batch's years only.
+            whole = rekey and not lake.numbered(spec)
             merged = merge.replace_unprotected(
-                existing, shape.select_existing(batch, list(spec.columns)), keys=spec.natural,
-                protected=[racing.CSV_SOURCE, racing.WEEKLY_SOURCE], surrogate=spec.surrogate,
-                key_order=leading[name] + rest, rekey=rekey, scope=["year", "race_key"],
+                existing if whole else lake.read_touched(spec, batch), shape.select_existing(batch, list(spec.columns)),
+                keys=spec.natural, protected=[racing.CSV_SOURCE, racing.WEEKLY_SOURCE], surrogate=spec.surrogate,
+                key_order=leading[name] + rest, rekey=rekey or lake.numbered(spec), scope=["year", "race_key"],
+                floor=keys.max_key(existing, spec.surrogate),
             )
-            lake.overwrite(spec, merged)
+            if rekey or lake.numbered(spec):
+                lake.rewrite_numbered(spec, merged)
+            else:
+                lake.rewrite_partitions(spec, merged)
 
 
 def weekly(

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimlathe.operators import keys
 from dimlathe.registry import TableSpec
 from dimlathe.session import file_system, materialize
-from dimlathe.sources import files
+from dimlathe.sources import files, snapshots
 
 
 class Lake:
     """Tables as folders ``<root>/<area>/<name>/v-<n>``; the newest completed version is the table.
 
-    A version counts once Spark has written its success marker, so readers see whole tables only.
+    A version counts once Spark has written its success marker, so readers see whole tables only. Within
+    a version, partitioned tables change by snapshots: a change of some years writes those years and one manifest.
     Each table has one writer at a time.
     """
 
@@ -39,8 +43,10 @@ class Lake:
             return self.spark.createDataFrame([], spec.schema())
         if spec.partition is None:
             return self.spark.read.schema(spec.schema()).parquet(versions[-1])
-        rows = files.read_partitions(self.spark, versions[-1], spec.partition, first, last, spec.schema())
-        return rows.select(*spec.columns)
+        rows = snapshots.read(self.spark, versions[-1], spec.partition, spec.schema())
+        if first is not None:
+            rows = rows.where(F.col(spec.partition) >= first)
+        return rows if last is None else rows.where(F.col(spec.partition) <= last)
 
     def read_touched(self, spec: TableSpec, batch: DataFrame) -> DataFrame:
         """The partitions that ``batch`` has rows for. Their values, one per folder, go into the plan as
@@ -59,14 +65,27 @@ class Lake:
         else:
             files.write_partitions(df, path, spec.partition, whole=True)
 
-    def rewrite_partitions(self, spec: TableSpec, df: DataFrame) -> None:
-        """Replace the partitions that ``df`` has rows for. The rows are first written aside, because
-        they may derive from the files to be replaced."""
+    def rewrite_partitions(self, spec: TableSpec, df: DataFrame, values: Iterable[int] = ()) -> None:
+        """Replace the partitions that ``df`` has rows for, and those of ``values``, in one commit. ``df`` may derive from the table."""
         versions = self._versions(spec)
-        if not versions:
+        if versions:
+            snapshots.replace_partitions(df.select(*spec.columns), versions[-1], spec.partition, values)
+        else:
             self.overwrite(spec, df)
-            return
-        files.write_partitions(materialize(df.select(*spec.columns), spec.name), versions[-1], spec.partition)
+
+    def numbered(self, spec: TableSpec) -> bool:
+        """Whether the table's surrogate keys are stored as places within partitions."""
+        versions = self._versions(spec)
+        return bool(versions) and snapshots.current(self.spark, versions[-1], spec.partition).relative_key is not None
+
+    def rewrite_numbered(self, spec: TableSpec, df: DataFrame) -> None:
+        """Replace the partitions that ``df`` has rows for and number the whole table anew, by partition and then by the
+        order of ``df``'s surrogate keys. Only the first call on a table rewrites all partitions; it needs all rows."""
+        rows = materialize(df.select(*spec.columns), spec.name)
+        if not self._versions(spec):
+            self.overwrite(spec, rows.where("false"))
+        whole = not self.numbered(spec)
+        snapshots.replace_numbered(rows, self._versions(spec)[-1], spec.partition, spec.surrogate, whole)
 
     def append(self, spec: TableSpec, df: DataFrame) -> None:
         """Add rows; ``df`` must not derive lazily from this table."""
@@ -75,8 +94,16 @@ class Lake:
             self.overwrite(spec, df)
         elif spec.partition is None:
             df.select(*spec.columns).write.mode("append").parquet(versions[-1])
+        elif self.numbered(spec):
+            self._append_numbered(spec, df)
         else:
-            files.append_partitions(df.select(*spec.columns), versions[-1], spec.partition)
+            snapshots.append(df.select(*spec.columns), versions[-1], spec.partition)
+
+    def _append_numbered(self, spec: TableSpec, df: DataFrame) -> None:
+        """Rows of a numbered table go behind the stored ones of their partition."""
+        stored = self.read_touched(spec, df)
+        behind = df.select(*spec.columns).withColumn(spec.surrogate, F.col(spec.surrogate) + keys.max_key(self.read(spec), spec.surrogate))
+        self.rewrite_numbered(spec, keys.dense_key(stored.unionByName(behind), spec.surrogate, [spec.partition, spec.surrogate]))
 
     def drop_old_versions(self, spec: TableSpec, keep: int = 1) -> None:
         """Delete all but the newest ``keep`` versions, once no reader uses them."""
