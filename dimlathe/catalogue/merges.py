@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimlathe.catalogue.registry import LOAD_TS, Tables, query
+from dimlathe.catalogue.registry import CATALOGUE, LOAD_TS, Tables, new_warehouse, query
 from dimlathe.catalogue.shaping import CUSTOMER, customers
 from dimlathe.operators import keys, merge, quality, shape
+from dimlathe.registry import TableSpec
+from dimlathe.session import scratch_path
+from dimlathe.sources.lake import Lake
 
 _STORED_SQL = """
     SELECT row_number() OVER (ORDER BY c_custkey) AS customer_key, c_custkey, c_name, c_nationkey, c_mktsegment, c_acctbal,
@@ -64,6 +67,17 @@ def upsert_priority(t: Tables) -> DataFrame:
     return _upsert(t, _stored(t), first_existing_by=["customer_key"])
 
 
+@query("upsert_indexed", CATALOGUE["upsert_priority"].sql)
+def upsert_indexed(t: Tables) -> DataFrame:
+    """The same merge with a stored table and a digest index that are both bucketed by the natural key."""
+    house, schema = new_warehouse(t)
+    house.replace(_stored(t), f"{schema}.customer", bucket=CUSTOMER.natural)
+    stored = house.read(f"{schema}.customer")
+    index = merge.digest_index(stored, CUSTOMER.natural, CUSTOMER.compare)
+    house.replace(index, f"{schema}.customer_digests", bucket=CUSTOMER.natural)
+    return _upsert(t, stored, index=house.read(f"{schema}.customer_digests"))
+
+
 @query(
     "upsert_first_load",
     f"""
@@ -122,6 +136,37 @@ def replace_unprotected(t: Tables) -> DataFrame:
     return merged.select("order_key", "o_orderkey", "source", "o_totalprice")
 
 
+@query(
+    "replace_unprotected_by_year",
+    """
+    SELECT row_number() OVER (ORDER BY year(o_orderdate), o_orderdate, o_orderkey) AS order_key, o_orderkey, source, o_totalprice
+    FROM (SELECT o_orderdate, o_orderkey, 'csv' AS source, o_totalprice FROM orders WHERE o_orderstatus = 'F'
+          UNION ALL
+          SELECT o_orderdate, o_orderkey, 'api', o_totalprice FROM orders
+          WHERE o_orderstatus = 'O' AND year(o_orderdate) NOT IN (1996, 1997)
+          UNION ALL
+          SELECT o_orderdate, o_orderkey, 'api', o_totalprice + 1 FROM orders WHERE o_orderstatus <> 'F'
+          AND o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND year(o_orderdate) IN (1996, 1997))
+    """,
+)
+def replace_unprotected_by_year(t: Tables) -> DataFrame:
+    """Two years are replaced in a stored table that is numbered by year; the other years' files stay and their keys move."""
+    names = ["order_key", "o_orderkey", "o_orderdate", "source", "o_totalprice", "year"]
+    order = ["year", "o_orderdate", "o_orderkey"]
+    with_year = F.year("o_orderdate").alias("year")
+    stored = _loaded_orders(t).select("*", with_year)
+    spec = TableSpec("orders", "facts", dict(stored.select(*names).dtypes), "order_key", ("o_orderkey",), partition="year")
+    lake = Lake(t.spark, scratch_path(t.spark, "lake"))
+    lake.rewrite_numbered(spec, keys.dense_key(stored.drop("order_key"), "order_key", order))
+    batch = _order_batch(t).select("*", with_year).where("year IN (1996, 1997)")
+    merged = merge.replace_unprotected(
+        lake.read_touched(spec, batch), shape.select_existing(batch, names), keys=["o_orderkey"], protected=["csv"],
+        surrogate="order_key", key_order=order, scope=["year"],
+    )
+    lake.rewrite_numbered(spec, merged)
+    return lake.read(spec).select("order_key", "o_orderkey", "source", "o_totalprice")
+
+
 @query(
     "replace_unprotected_stable",
     """

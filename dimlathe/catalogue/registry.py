@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimlathe.session import scratch_path
+from dimlathe.sources.warehouse import Warehouse
+
 # Fixed load time of the catalogue's loads, so that reruns give the same rows.
 LOAD_TS = datetime(2024, 3, 1)
 
@@ -42,3 +46,11 @@ def query(name: str, sql: str | None = None):
         return run
 
     return register
+
+
+def new_warehouse(t: Tables) -> tuple[Warehouse, str]:
+    """A warehouse in scratch space and the name of an empty schema in it."""
+    house = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    schema = f"dimlathe_{uuid.uuid4().hex}"
+    house.recreate_schema(schema)
+    return house, schema

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dimlathe.catalogue.registry import Tables, query
+from dimlathe.catalogue.registry import Tables, new_warehouse, query
 from dimlathe.functions.coerce import to_date, to_integer, to_number
 from dimlathe.registry import TableSpec
 from dimlathe.session import scratch_path
-from dimlathe.sources import envelopes, files, topics
-from dimlathe.sources.warehouse import Warehouse
+from dimlathe.sources import envelopes, files, snapshots, topics
 from dimlathe.streaming import consume
 
 
@@ -110,6 +107,30 @@ def partition_append_touched(t: Tables) -> DataFrame:
     return _per_year(files.read_partitions(t.spark, path, "year", schema=rows.schema))
 
 
+@query(
+    "snapshot_rewrite_years",
+    """
+    SELECT o_orderkey, CASE WHEN year(o_orderdate) IN (1995, 1997) THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           CAST(year(o_orderdate) AS INTEGER) AS year, CAST(2 AS BIGINT) AS commits, CAST(0 AS BIGINT) AS lost
+    FROM orders WHERE o_orderstatus <> 'P' OR year(o_orderdate) = 1998
+    """,
+)
+def snapshot_rewrite_years(t: Tables) -> DataFrame:
+    """Two years are rewritten and one is added to, each in one commit. ``lost`` counts files of the first load that are gone."""
+    path = scratch_path(t.spark, "snapshots")
+    rows = _orders_by_year(t)
+    schema = rows.select("o_orderkey", "o_orderstatus", "o_totalprice", F.col("year").cast("int")).schema
+    files.write_partitions(rows.where("o_orderstatus <> 'P'").select(*schema.fieldNames()), path, "year", whole=True)
+    first = snapshots.current(t.spark, path, "year")
+    years = snapshots.read(t.spark, path, "year", schema).where("year IN (1995, 1997)")
+    snapshots.replace_partitions(years.withColumn("o_totalprice", F.col("o_totalprice") + 1), path, "year")
+    at = snapshots.append(rows.where("o_orderstatus = 'P' AND year = 1998").select(*schema.fieldNames()), path, "year")
+    lost = set(first.folders) - set(snapshots.current(t.spark, path, "year").folders)
+    return snapshots.read(t.spark, path, "year", schema).select(
+        "o_orderkey", "o_totalprice", "year", F.lit(at.number).cast("bigint").alias("commits"), F.lit(len(lost)).cast("bigint").alias("lost")
+    )
+
+
 _TEXT = T.StringType()
 
 
@@ -274,16 +295,9 @@ def replay_lineage(t: Tables) -> DataFrame:
     return topics.null_key_count(topics.replay(rows, "purchase", "user_id", lineage="event_type"))
 
 
-def _warehouse(t: Tables) -> tuple[Warehouse, str]:
-    house = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
-    schema = f"dimlathe_{uuid.uuid4().hex}"
-    house.recreate_schema(schema)
-    return house, schema
-
-
 @query("table_replace", "SELECT c_custkey, c_name, c_acctbal * 2 AS c_acctbal FROM customer WHERE c_mktsegment <> 'BUILDING'")
 def table_replace(t: Tables) -> DataFrame:
-    house, schema = _warehouse(t)
+    house, schema = new_warehouse(t)
     table = f"{schema}.customer"
     house.replace(t.customer, table)
     house.replace(house.read(table).where("c_mktsegment <> 'BUILDING'").drop("c_mktsegment", "c_nationkey"), table)
@@ -293,7 +307,7 @@ def table_replace(t: Tables) -> DataFrame:
 
 @query("table_append", "SELECT o_orderkey, o_orderstatus FROM orders")
 def table_append(t: Tables) -> DataFrame:
-    house, schema = _warehouse(t)
+    house, schema = new_warehouse(t)
     orders = t.orders.select("o_orderkey", "o_orderstatus")
     house.append(orders.where("o_orderstatus = 'F'"), f"{schema}.orders")
     house.append(orders.where("o_orderstatus <> 'F'").select("o_orderstatus", "o_orderkey"), f"{schema}.orders")
@@ -311,7 +325,7 @@ def table_append(t: Tables) -> DataFrame:
     """,
 )
 def insert_unseen_by_key(t: Tables) -> DataFrame:
-    house, schema = _warehouse(t)
+    house, schema = new_warehouse(t)
     table = f"{schema}.orders"
     orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
     raised = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
@@ -324,6 +338,41 @@ def insert_unseen_by_key(t: Tables) -> DataFrame:
     return house.read(table).select("*", *(F.lit(c).cast("bigint").alias(n) for n, c in counts.items()))
 
 
+@query(
+    "insert_unseen_bucketed",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE o_totalprice + 1 END AS o_totalprice,
+           (SELECT count(*) FROM orders WHERE o_orderstatus <> 'F') AS inserted
+    FROM orders
+    """,
+)
+def insert_unseen_bucketed(t: Tables) -> DataFrame:
+    """The same on a table bucketed by its key, which no insert shuffles."""
+    house, schema = new_warehouse(t)
+    orders = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
+    house.replace(orders.where("o_orderstatus = 'F'").drop("o_orderstatus"), f"{schema}.orders", bucket=["o_orderkey"])
+    raised = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1).drop("o_orderstatus")
+    inserted = house.insert_unseen(raised, f"{schema}.orders", ["o_orderkey"])
+    house.compact(f"{schema}.orders")
+    return house.read(f"{schema}.orders").select("*", F.lit(inserted).cast("bigint").alias("inserted"))
+
+
+@query(
+    "view_follows_table",
+    "SELECT c_nationkey, count(*) AS customers, CAST(sum(c_custkey) AS BIGINT) AS ids FROM customer WHERE c_nationkey < 20 GROUP BY 1",
+)
+def view_follows_table(t: Tables) -> DataFrame:
+    """A view made over the first load shows what the table holds after a replacement and an append."""
+    house, schema = new_warehouse(t)
+    table, rows = f"{schema}.customer", t.customer.select("c_custkey", "c_nationkey")
+    house.replace(rows.where("c_nationkey < 5"), table)
+    text = f"SELECT c_nationkey, count(*) AS customers, sum(c_custkey) AS ids FROM {table} GROUP BY 1"
+    house.sql_view(f"{schema}.per_nation", text)
+    house.replace(rows.where("c_nationkey < 10"), table)
+    house.append(rows.where("c_nationkey >= 10 AND c_nationkey < 20"), table)
+    return house.read(f"{schema}.per_nation")
+
+
 EVENT = TableSpec(
     name="events",
     area="facts",
@@ -425,7 +474,7 @@ def stream_idempotent_insert(t: Tables) -> DataFrame:
 
 @query("stream_table_insert", _EVENTS_SQL)
 def stream_table_insert(t: Tables) -> DataFrame:
-    house, schema = _warehouse(t)
+    house, schema = new_warehouse(t)
     topic, positions = scratch_path(t.spark, "topic"), scratch_path(t.spark, "positions")
     first, second, _ = _drops(t)
     house.replace(first, f"{schema}.events")

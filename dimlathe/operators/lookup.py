@@ -69,30 +69,33 @@ def lookup_via_bridge(
 
 
 def unseen(
-    batch: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False
+    batch: DataFrame, existing: DataFrame, on: Sequence[str], null_safe: bool = False, bucketed: bool = False
 ) -> DataFrame:
     """Batch rows whose key the existing table does not hold. ``null_safe`` lets NULL equal NULL.
 
     The large table is first reduced to the batch's keys by a semi join: it is scanned for its key
-    columns only, and not shuffled while the batch's keys fit under the broadcast threshold.
+    columns only, and not shuffled while the batch's keys fit under the broadcast threshold. A table ``bucketed`` by
+    the key is not shuffled at all; a stored key then repeats at most as often as rows of it were inserted, so there is no hot
+    key to split.
     """
     wanted = batch.select(*on) if null_safe else complete_keys(batch.select(*on), on)
     wanted = wanted.distinct().toDF(*(f"__w{i}" for i in range(len(on))))
     held = existing.select(*on)
-    found = held.join(wanted, _match(held, wanted, [(k, f"__w{i}") for i, k in enumerate(on)], fresh=True), "left_semi")
+    fresh = null_safe or not bucketed
+    found = held.join(wanted, _match(held, wanted, [(k, f"__w{i}") for i, k in enumerate(on)], fresh=fresh), "left_semi")
     seen = found.distinct().toDF(*(f"__s{i}" for i in range(len(on))))
     return batch.join(seen, _match(batch, seen, [(k, f"__s{i}") for i, k in enumerate(on)], fresh=True), "left_anti")
 
 
 def new_rows(
-    batch: DataFrame, existing: DataFrame, on: Sequence[str], first_by: Sequence[str | Column]
+    batch: DataFrame, existing: DataFrame, on: Sequence[str], first_by: Sequence[str | Column], bucketed: bool = False
 ) -> DataFrame:
     """The batch rows to insert: unseen keys, each key once, at its first place in ``first_by``.
 
     A NULL key part equals a stored NULL. Rows with an incomplete key cannot be told apart, so all of
     them stay; they are compared only with the stored rows whose key is incomplete too.
     """
-    whole = unseen(complete_keys(batch, on), existing, on)
+    whole = unseen(complete_keys(batch, on), existing, on, bucketed=bucketed)
     partial = unseen(
         complete_keys(batch, on, complete=False), complete_keys(existing, on, complete=False), on, null_safe=True
     )

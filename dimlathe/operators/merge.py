@@ -64,6 +64,43 @@ def action_counts(
     return actions.union(added).union(broken).groupBy("action").agg(F.count("*").alias("rows"))
 
 
+def _digest(columns: Sequence[str]) -> Column:
+    """128 bits over named values, NULLs included."""
+    return F.md5(F.to_json(F.struct(*(F.col(f"`{c}`").alias(c) for c in sorted(columns))), {"ignoreNullFields": "false"}))
+
+
+def digest_index(
+    table: DataFrame, keys: Sequence[str], compare: Sequence[str], lineage: str = "source", first_by: Sequence[str] | None = None
+) -> DataFrame:
+    """A narrow side table for change detection: natural key, lineage, digest of the compared columns.
+
+    Store it next to the table, bucketed alike. ``first_by`` names the row that counts where a key is stored more than once.
+    """
+    rows = complete_keys(table, keys)
+    rows = keep_first(rows, keys, first_by) if first_by else rows
+    return rows.select(*keys, F.col(lineage).alias("__lineage"), _digest(compare).alias("__digest"))
+
+
+def changed_rows(index: DataFrame, batch: DataFrame, keys: Sequence[str], compare: Sequence[str], protected: str) -> DataFrame:
+    """Batch rows whose key is new, or whose values differ from the stored ones and may replace them.
+
+    Only the index and the batch's keys and compared columns are joined; wide stored rows are not read. Equal digests count as
+    equal values; rows whose digests differ are compared again by value where they are merged.
+    """
+    held = index.select(*(F.col(k).alias(f"__i{i}") for i, k in enumerate(keys)), "__lineage", "__digest")
+    narrow = batch.select(*keys, _digest(compare).alias("__now"))
+    same = reduce(lambda x, y: x & y, (F.col(k) == F.col(f"__i{i}") for i, k in enumerate(keys)))
+    settled = F.col("__lineage").eqNullSafe(protected) | (F.col("__digest") == F.col("__now"))
+    done = narrow.join(held, same).where(settled).select(*(F.col(k).alias(f"__d{i}") for i, k in enumerate(keys))).distinct()
+    return batch.join(done, reduce(lambda x, y: x & y, (F.col(k) == F.col(f"__d{i}") for i, k in enumerate(keys))), "left_anti")
+
+
+def refresh_index(index: DataFrame, written: DataFrame, keys: Sequence[str], compare: Sequence[str], lineage: str = "source") -> DataFrame:
+    """The index after ``written``, the added and updated rows as they are stored now."""
+    fresh = digest_index(written, keys, compare, lineage)
+    return unseen(index, fresh, keys).unionByName(fresh)
+
+
 def upsert(
     existing: DataFrame,
     batch: DataFrame,
@@ -80,6 +117,7 @@ def upsert(
     floor: int | Column = 0,
     first_existing_by: Sequence[str] | None = None,
     last_batch_by: Sequence[str] | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Merge a batch into a table by natural key; the result is the whole new table.
 
@@ -91,9 +129,13 @@ def upsert(
     broadcast threshold then moves none of the stored rows. Of a key repeated in the batch the last row by
     ``last_batch_by`` (else by ``key_order``) counts. No stored row is ever removed; ``first_existing_by`` names the one that
     is updated where a key is stored more than once. When ``existing``
-    is only the part of a table that the batch touches, ``floor`` is the largest key of the rest.
+    is only the part of a table that the batch touches, ``floor`` is the largest key of the rest. With an ``index`` of the
+    stored table (``digest_index``) only new and changed rows of the batch meet the wide stored rows.
     """
     batch = keep_first(complete_keys(batch, keys), keys, [F.col(c).desc_nulls_first() for c in last_batch_by or key_order])
+    if index is not None:
+        # The merge reads the batch in several places; what has changed is found once.
+        batch = materialize(changed_rows(index, batch, keys, compare, protected), "changed")
     columns = existing.columns
     if first_existing_by is not None:
         place = F.row_number().over(W.partitionBy(*keys).orderBy(*ordering(first_existing_by)))

@@ -52,10 +52,23 @@ class Warehouse:
         if partition:
             self.spark.sql(f"MSCK REPAIR TABLE {table}")
 
-    def replace(self, df: DataFrame, table: str, partition: str | None = None) -> None:
+    def replace(
+        self, df: DataFrame, table: str, partition: str | None = None, bucket: Sequence[str] | None = None, buckets: int | None = None
+    ) -> None:
         """Write a new version and point the table at it. With ``partition`` the table is partitioned by
-        that column, which moves to the end, and queries on it read only the partitions they need."""
+        that column, which moves to the end, and queries on it read only the partitions they need. With ``bucket``, its natural
+        key, it is bucketed and sorted by that: joins on the key do not shuffle it, whatever the size of the other side.
+        ``buckets`` should not be fewer than the shuffle partitions, the default, and give files of a few hundred MB."""
         path = f"{self.root}/{table.replace('.', '/')}-{uuid.uuid4().hex}"
+        if bucket:
+            count = buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            aside = f"{table}_{uuid.uuid4().hex}"
+            writer = df.repartition(count, *bucket).write.format("parquet").option("path", path)
+            writer.bucketBy(count, *bucket).sortBy(*bucket).saveAsTable(aside)
+            # The old version serves readers until the new one is whole.
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+            return
         if partition:
             files.write_partitions(df, path, partition, whole=True)
         else:
@@ -68,11 +81,26 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE {table}")
         self._point(table, path, df.schema, partition)
 
+    def bucketing(self, table: str) -> tuple[list[str], int]:
+        """The columns a table is bucketed by and the number of buckets; none and 0 for other tables."""
+        told = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+        count = int(told.get("Num Buckets") or 0)
+        return ([c.strip(" `") for c in told["Bucket Columns"].strip("[]").split(",")] if count else []), count
+
     def append(self, df: DataFrame, table: str) -> None:
+        """Add rows. Rows for a bucketed table are dealt by its key first, so each bucket gains one file."""
         if not self.exists(table):
             self.replace(df, table)
             return
-        df.select(*self.read(table).columns).write.mode("append").insertInto(table)
+        rows = df.select(*self.read(table).columns)
+        key, count = self.bucketing(table)
+        rows = rows.repartition(count, *key) if key else rows
+        rows.write.mode("append").insertInto(table)
+
+    def compact(self, table: str) -> None:
+        """Rewrite a bucketed table with one sorted file per bucket, after many appends."""
+        key, count = self.bucketing(table)
+        self.replace(self.read(table), table, bucket=key, buckets=count)
 
     def insert_unseen(
         self, df: DataFrame, table: str, key: Sequence[str], first_by: Sequence[str] | None = None
@@ -81,7 +109,9 @@ class Warehouse:
 
         Returns the number of inserted rows, counted while they are written.
         """
-        new = new_rows(df, self.keys(table, key, df), key, first_by or [c for c in df.columns if c not in key] or list(key))
+        order = first_by or [c for c in df.columns if c not in key] or list(key)
+        bucketed = self.exists(table) and self.bucketing(table)[0] == list(key)
+        new = new_rows(df, self.keys(table, key, df), key, order, bucketed)
         counted = Observation()
         self.append(new.observe(counted, F.count(F.lit(1)).alias("rows")), table)
         return counted.get["rows"]
@@ -89,6 +119,10 @@ class Warehouse:
     def view(self, df: DataFrame, name: str) -> None:
         df.createOrReplaceTempView(name)
 
+    def sql_view(self, name: str, text: str) -> None:
+        """A view in the catalog. It is planned anew at each use, so it follows its tables when they are replaced or added to."""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str, batch: int = 1000, **options: str) -> None:
     """Write to a database that has a JDBC driver on the class path. ``truncate`` keeps its grants and indexes."""
