@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -268,6 +269,35 @@ def page_assembly_check(t: Tables) -> DataFrame:
     return envelopes.page_completeness(pages, "Data", "Data.PartTable.Parts")
 
 
+@query(
+    "page_interval_gaps",
+    """
+    WITH placed AS (SELECT p_brand, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS place FROM part),
+    sized AS (SELECT p_brand, count(*) AS announced FROM part GROUP BY 1),
+    kept AS (SELECT * FROM placed WHERE NOT (p_brand = 'Brand#12' AND place >= 2 AND place < 4))
+    SELECT p_brand AS request, announced, (SELECT count(*) FROM kept k WHERE k.p_brand = s.p_brand) AS records,
+           CASE WHEN p_brand = 'Brand#12' AND announced > 2 THEN CAST(2 AS BIGINT) END AS missing_from,
+           NOT (p_brand = 'Brand#12' AND announced > 2) AS complete
+    FROM sized s
+    """,
+)
+def page_interval_gaps(t: Tables) -> DataFrame:
+    """Parts as pages of two per brand, of which one page of one brand never landed: the report names the gap."""
+    path = scratch_path(t.spark, "json")
+    per = W.partitionBy("p_brand").orderBy("p_partkey")
+    total = F.count("*").over(W.partitionBy("p_brand")).cast("string")
+    placed = t.part.withColumns({"at": F.row_number().over(per) - 1, "total": total})
+    pages = placed.groupBy(F.col("p_brand").alias("url"), "total", (F.floor(F.col("at") / 2) * 2).cast("string").alias("offset")).agg(
+        F.collect_list(F.struct(F.col("p_partkey").cast("string").alias("partId"))).alias("Parts")
+    )
+    landed = pages.where("NOT (url = 'Brand#12' AND offset = '2')")
+    body = F.struct(F.struct("url", "total", "offset", F.struct("Parts").alias("PartTable")).alias("Data"))
+    landed.select(F.to_json(body).alias("value")).write.text(path)
+    schema = "Data struct<url: string, total: string, limit: string, offset: string, PartTable: struct<Parts: array<struct<partId: string>>>>"
+    judged = envelopes.with_interval(envelopes.read_envelopes(t.spark, path, schema), "Data", ["Data.PartTable.Parts"])
+    return envelopes.page_coverage(judged).select("request", "announced", "records", "missing_from", "complete")
+
+
 @query(
     "publish_key_value",
     """
@@ -482,3 +512,32 @@ def stream_table_insert(t: Tables) -> DataFrame:
     sink = consume.table_sink(house, f"{schema}.events", ["event_id"], ["ts"])
     consume.consume_all(t.spark, [consume.Subscription(EVENT, topic, sink)], positions)
     return _shown(house.read(f"{schema}.events"))
+
+
+@query(
+    "stream_rejects",
+    """
+    SELECT CAST(count(*) FILTER (WHERE event_id % 10 > 2) AS BIGINT) AS stored,
+           CAST(count(*) FILTER (WHERE event_id % 10 = 0) AS BIGINT) AS broken,
+           CAST(count(*) FILTER (WHERE event_id % 10 = 1) AS BIGINT) AS empty,
+           CAST(count(*) FILTER (WHERE event_id % 10 = 2) AS BIGINT) AS keyless, CAST(0 AS BIGINT) AS placeless
+    FROM events
+    """,
+)
+def stream_rejects(t: Tables) -> DataFrame:
+    """A topic with truncated, empty and keyless messages: each is set aside with its place and reason, and none becomes a row."""
+    topic, target, positions = (scratch_path(t.spark, n) for n in ("topic", "target", "positions"))
+    kind = F.col("key").cast("bigint") % 10
+    value = (
+        F.when(kind == 0, F.substring("value", 1, 20))
+        .when(kind == 2, F.regexp_replace("value", '"event_id":[0-9]+', '"event_id":null'))
+        .when(kind != 1, F.col("value"))
+    )
+    topics.publish(topics.as_messages(t.events, "event_id").withColumn("value", value), topic)
+    events = consume.Subscription(EVENT, topic, consume.folder_sink(target, ["event_id"], ["ts"]))
+    stored = consume.consume_all(t.spark, [events], positions)[EVENT.qualified]
+    lost = consume.read_rejects(t.spark, consume.rejects_of(positions, EVENT))
+    reasons = {"broken": consume.NOT_AN_OBJECT, "empty": consume.NO_VALUE, "keyless": consume.NO_KEY}
+    return lost.agg(
+        *(F.count_if(F.col("reason") == r).alias(n) for n, r in reasons.items()), F.count_if(F.col("position").isNull()).alias("placeless")
+    ).withColumn("stored", F.lit(stored).cast("bigint"))

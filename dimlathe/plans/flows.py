@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,8 +99,10 @@ def _race_days(wide: DataFrame) -> tuple[str, str]:
 
 def load_csv(
     lake: Lake, csv: str, load_ts: datetime, first_day: str | None = None, last_day: str | None = None, multi_line: bool = False
-) -> None:
-    """All ten Silver tables from the wide file. Rows without a year are set aside; ``multi_line`` reads quoted line breaks."""
+) -> DataFrame:
+    """All ten Silver tables from the wide file. Rows without a year are set aside; ``multi_line`` reads quoted line breaks.
+    Returns the counts of each load."""
+    ledger = Ledger(lake)
     wide = bronze(lake.spark, csv, multi_line)
     span = (first_day, last_day) if first_day else _race_days(wide)
     lake.overwrite(racing.TIME, calendar(lake.spark, *span))
@@ -110,26 +112,35 @@ def load_csv(
         if table.spec.foreign:
             rows = resolve_csv(rows, table.spec, lake)
         rows = shape.stamp_lineage(rows, racing.CSV_SOURCE, load_ts)
+        existing, seen = ledger.before(table.spec), Observation()
         if table.spec.partition:
-            rows = materialize(rows, f"csv-{name}")
+            rows = materialize(rows.observe(seen, F.count(F.lit(1)).alias("rows")), f"csv-{name}")
             lake.set_aside_unplaced(table.spec, rows)
-        lake.overwrite(table.spec, rows)
+            lake.overwrite(table.spec, rows)
+        else:
+            lake.overwrite(table.spec, rows.observe(seen, F.count(F.lit(1)).alias("rows")))
+        ledger.add(table.spec, existing, seen.get["rows"])
+    return ledger.frame()
 
 
 # ---------------------------------------------------------------- landed JSON
 
 
 def flatten(
-    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool | None = None, exact_times: bool = False
+    spark: SparkSession, path: str, resource: racing.Resource, one_per_line: bool | None = None, exact_times: bool = False,
+    without: DataFrame | None = None,
 ) -> DataFrame:
     """Typed rows of one JSON resource, with natural keys and no ids yet.
 
     ``exact_times`` computes lap times with decimals and reads pit stops of a minute or more; without
     it a lap time may lose a millisecond to truncation and such a stop has no duration. Each file's layout is found out;
-    ``one_per_line`` requires a page per line.
+    ``one_per_line`` requires a page per line. Pages of the requests in ``without`` are left out.
     """
     spec = resource.spec
     pages = envelopes.read_pages(spark, path, resource.schema, one_per_line)
+    if without is not None:
+        judged = envelopes.with_interval(pages, "MRData", [array for array, _ in resource.levels])
+        pages = judged.join(without.select(F.col("request").alias("__request")), "__request", "left_anti").select(*pages.columns)
     if resource.once_per:
         array, fields = resource.levels[0]
         found = envelopes.records(pages, array, fields, position="__at")
@@ -174,14 +185,47 @@ def resolve_api(rows: DataFrame, spec: TableSpec, lake: Lake) -> DataFrame:
     return rows
 
 
+def page_report(spark: SparkSession, landing: str, name: str, one_per_line: bool | None = None) -> DataFrame:
+    """Coverage of each landed request of a resource whose pages tell their offsets."""
+    resource = racing.RESOURCES[name]
+    pages = envelopes.read_pages(spark, f"{landing}/{name}", resource.schema, one_per_line)
+    return envelopes.page_coverage(envelopes.with_interval(pages, "MRData", [array for array, _ in resource.levels]))
+
+
 def _batch(lake: Lake, landing: str, name: str, one_per_line: bool | None, exact_times: bool) -> DataFrame:
     resource = racing.RESOURCES[name]
-    rows = flatten(lake.spark, f"{landing}/{name}", resource, one_per_line, exact_times)
+    # Requests with missing, repeated or moving pages are set aside; the report names the first missing offset.
+    broken = materialize(page_report(lake.spark, landing, name, one_per_line).where("NOT complete"), f"pages-{name}")
+    lacking = not broken.isEmpty()
+    if lacking:
+        broken.write.mode("append").parquet(f"{lake.root}/quarantine/pages/{name}")
+    rows = flatten(lake.spark, f"{landing}/{name}", resource, one_per_line, exact_times, broken if lacking else None)
     rows = resolve_api(rows, resource.spec, lake) if resource.spec.foreign else rows
     # Merges read the batch several times; parse and look up once.
     return materialize(rows, f"batch-{name}")
 
 
+LEDGER = "table string, existing bigint, incoming bigint, final bigint, added bigint"
+
+
+class Ledger:
+    """Row counts of a run's loads. Parquet answers them from file footers, so no rows are read for them."""
+
+    def __init__(self, lake: Lake):
+        self.lake, self.held = lake, []
+
+    def before(self, spec: TableSpec) -> int:
+        return self.lake.read(spec).count()
+
+    def add(self, spec: TableSpec, existing: int, incoming: int) -> None:
+        final = self.before(spec)
+        self.held.append((spec.qualified, existing, incoming, final, final - existing))
+
+    def frame(self) -> DataFrame:
+        """One row per load; the same counts as ``quality.load_report``."""
+        return self.lake.spark.createDataFrame(self.held, LEDGER)
+
+
 def foreign_key_report(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows per unresolved foreign key."""
     return quality.null_counts(rows, spec.foreign)
@@ -190,18 +234,20 @@ def foreign_key_report(rows: DataFrame, spec: TableSpec) -> DataFrame:
 def backfill(
     lake: Lake, landing: str, load_ts: datetime, names: Iterable[str] = ORDER, rekey: bool = False,
     one_per_line: bool | None = None, exact_times: bool = False,
-) -> None:
+) -> DataFrame:
     """Merge landed JSON into Silver. Rows of the wide file always win.
 
     Rows whose natural key is incomplete, because a lookup missed, are set aside in the lake and not
     merged. Results touch only the years of the batch. Laps and pit stops replace earlier interface rows;
-    ``rekey`` numbers those two tables anew, otherwise stored keys stay.
+    ``rekey`` numbers those two tables anew, otherwise stored keys stay. Requests whose pages are incomplete are left out and
+    reported below ``<lake>/quarantine/pages``. Returns the counts of each load.
     """
+    ledger = Ledger(lake)
     for name in (n for n in ORDER if n in set(names)):
         resource = racing.RESOURCES[name]
         spec = resource.spec
         batch = _batch(lake, landing, name, one_per_line, exact_times)
-        existing = lake.read(spec)
+        existing, stored_rows, incoming = lake.read(spec), ledger.before(spec), batch.count()
         if spec.identity:
             # After the largest stored id, so that successive loads give no id twice.
             base = F.lit(racing.ID_BASE.get(name, racing.FACT_ID_BASE)).cast("bigint")
@@ -238,6 +284,8 @@ def backfill(
                 lake.rewrite_numbered(spec, merged)
             else:
                 lake.rewrite_partitions(spec, merged)
+        ledger.add(spec, stored_rows, incoming)
+    return ledger.frame()
 
 
 def weekly(

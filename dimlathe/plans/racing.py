@@ -281,7 +281,7 @@ class Resource:
 
 
 def _envelope(table: str, array: str, record: str) -> str:
-    return f"MRData struct<total: string, limit: string, offset: string, {table}: struct<{array}: array<struct<{record}>>>>"
+    return f"MRData struct<url: string, total: string, limit: string, offset: string, {table}: struct<{array}: array<struct<{record}>>>>"
 
 
 # Field names of the JSON resources.

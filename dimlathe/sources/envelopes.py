@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -112,6 +113,65 @@ def page_completeness(pages: DataFrame, root: str, array_path: str) -> DataFrame
     return counted.withColumn("complete", F.col("assembled") == F.col("announced"))
 
 
+def innermost_count(levels: Sequence[str]) -> Column:
+    """Records of a page in its innermost array; ``levels`` are array paths, each relative to the element before it."""
+
+    def below(element: Column, rest: Sequence[str]) -> Column:
+        at = element
+        for name in rest[0].split("."):
+            at = at[name]
+        if len(rest) == 1:
+            return F.coalesce(F.size(at), F.lit(0)).cast("bigint")
+        return F.coalesce(
+            F.aggregate(at, F.lit(0).cast("bigint"), lambda total, e: total + below(e, rest[1:])), F.lit(0).cast("bigint")
+        )
+
+    head, _, path = levels[0].partition(".")
+    return below(F.col(head), [path, *levels[1:]])
+
+
+def with_interval(pages: DataFrame, root: str, levels: Sequence[str], request: Column | None = None) -> DataFrame:
+    """Pages with the request they answer and the interval ``[__from, __to)`` of its records that they hold.
+
+    The request is the address that the page echoes, else the folder of its file, unless another column is given. A page that
+    does not tell its offset has no interval.
+    """
+    folder = F.regexp_replace(F.col(f"{INGEST}.file_path"), "/[^/]*$", "")
+    if request is None:
+        names = pages.schema[root].dataType.fieldNames()
+        request = F.coalesce(F.col(f"{root}.url"), folder) if "url" in names else folder
+    start = F.col(f"{root}.offset").try_cast("bigint")
+    return pages.withColumns(
+        {"__request": request, "__from": start, "__to": start + innermost_count(levels), "__total": F.col(f"{root}.total").try_cast("bigint")}
+    )
+
+
+def page_coverage(judged: DataFrame) -> DataFrame:
+    """One row per request of ``with_interval`` pages that tell their offsets: pages, records, announced total, the first missing
+    offset, overlapping records, and whether every record came exactly once.
+
+    Intervals are sorted within a request; a gap or overlap is what the next page's start is off the furthest end so far. The same page
+    landed twice counts once. A total that changes between pages makes a request incomplete: it moved while it was read.
+    """
+    told = judged.where("__from IS NOT NULL").select("__request", "__from", "__to", "__total").distinct()
+    # A request has no more pages than its total over the page size.
+    order = W.partitionBy("__request").orderBy("__from", "__to")
+    reach = F.coalesce(F.max("__to").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = told.withColumn("__reach", reach)
+    per = placed.groupBy(F.col("__request").alias("request")).agg(
+        F.count("*").alias("pages"),
+        F.sum(F.col("__to") - F.col("__from")).cast("bigint").alias("records"),
+        F.max("__total").alias("announced"),
+        (F.min("__total").eqNullSafe(F.max("__total")) & (F.count("__total") == F.count("*"))).alias("steady"),
+        F.min(F.when(F.col("__from") > F.col("__reach"), F.col("__reach"))).alias("gap"),
+        F.max("__to").alias("reach"),
+        F.coalesce(F.sum(F.when(F.col("__from") < F.col("__reach"), F.least("__to", "__reach") - F.col("__from"))), F.lit(0)).cast("bigint").alias("overlap"),
+    )
+    missing = F.coalesce(F.col("gap"), F.when(F.col("reach") < F.col("announced"), F.col("reach")))
+    whole = F.coalesce(missing.isNull() & F.col("steady") & (F.col("overlap") == 0) & (F.col("records") == F.col("announced")), F.lit(False))
+    return per.select("request", "pages", "records", "announced", missing.alias("missing_from"), "overlap", "steady", whole.alias("complete"))
+
+
 def paged(df: DataFrame, page_size: int) -> DataFrame:
     """Assign rows to pages of at most ``page_size`` by their place in the input, not by a key, so
     the size of a page does not depend on the data."""

@@ -49,10 +49,15 @@ def null_key_count(messages: DataFrame) -> DataFrame:
     return messages.agg(F.count("*").alias("messages"), F.count_if(F.col("key").isNull()).alias("null_keys"))
 
 
-def read_topic(spark: SparkSession, topic: str, servers: str | None = None) -> DataFrame:
-    """The topic as a stream of text keys and values, from its beginning on a query's first run."""
+def read_topic(spark: SparkSession, topic: str, servers: str | None = None, positions: bool = False) -> DataFrame:
+    """The topic as a stream of text keys and values, from its beginning on a query's first run. ``positions`` adds where each
+    message lies: partition and offset on a broker, else the file and the start of its block."""
     if servers:
         reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
         stream = reader.option("subscribe", topic).option("startingOffsets", "earliest").load()
-        return stream.select(F.col("key").cast("string"), F.col("value").cast("string"))
-    return spark.readStream.schema(MESSAGE).json(topic)
+        place = F.concat_ws(":", "topic", "partition", "offset")
+        message = stream.select(F.col("key").cast("string"), F.col("value").cast("string"), place.alias("position"))
+    else:
+        place = F.concat_ws(":", "_metadata.file_path", "_metadata.file_block_start")
+        message = spark.readStream.schema(MESSAGE).json(topic).select("key", "value", place.alias("position"))
+    return message if positions else message.drop("position")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,11 +18,33 @@ from dimlathe.sources.topics import read_topic
 from dimlathe.sources.warehouse import Warehouse
 
 BATCH = "load_batch"
+Sink = Callable[[DataFrame, str], int]
+
+
+_BROKEN = "__broken"
+NO_VALUE, NOT_AN_OBJECT, NO_KEY = "no value", "not an object", "no key"
+
+
+def _parsed(schema: T.StructType) -> Column:
+    """A message's value as a struct; what does not parse is kept whole in a field of its own."""
+    held = T.StructType([*schema, T.StructField(_BROKEN, T.StringType())])
+    return F.from_json("value", held, {"columnNameOfCorruptRecord": _BROKEN})
+
+
+def _reason(keys: Sequence[str] = ()) -> Column:
+    """Why the parsed struct ``__row`` is no row of a table; NULL if it is one."""
+    keyless = reduce(lambda x, y: x & y, (F.col(f"__row.`{k}`").isNull() for k in keys)) if keys else F.lit(False)
+    return (
+        F.when(F.col("value").isNull() | (F.trim("value") == ""), NO_VALUE)
+        .when(F.col("__row").isNull() | F.col(f"__row.{_BROKEN}").isNotNull(), NOT_AN_OBJECT)
+        .when(keyless, NO_KEY)
+    )
 
 
 def parse_values(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Message values to columns, as text or as the given types."""
-    return messages.select(F.from_json("value", schema).alias("__row")).select("__row.*")
+    """Message values to columns, as text or as the given types. Messages without a readable object give no row."""
+    rows = messages.withColumn("__row", _parsed(schema)).where(_reason().isNull())
+    return rows.select(*(F.col(f"__row.`{f.name}`").alias(f.name) for f in schema))
 
 
 def parse_typed(messages: DataFrame, spec: TableSpec) -> DataFrame:
@@ -29,6 +52,37 @@ def parse_typed(messages: DataFrame, spec: TableSpec) -> DataFrame:
     return conform(parse_values(messages, spec.text_schema()), spec, show_unknown=False)
 
 
+def rejects(messages: DataFrame, spec: TableSpec) -> DataFrame:
+    """Messages that are no row of the table, as they came, with the reason. ``messages`` comes with positions."""
+    judged = messages.withColumn("__row", _parsed(spec.text_schema())).withColumn("reason", _reason([spec.surrogate]))
+    return judged.where("reason IS NOT NULL").select("position", "key", "value", "reason")
+
+
+def judged_sink(spec: TableSpec, sink: Sink, aside: str) -> Sink:
+    """A sink for raw messages: rows go to ``sink``, rejected messages below ``aside``, both once per batch."""
+
+    def store(batch: DataFrame, name: str) -> int:
+        batch = batch.persist()
+        try:
+            bad = rejects(batch, spec).withColumn(BATCH, F.lit(name))
+            # A batch that is run again replaces what it set aside.
+            bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(aside)
+            good = parse_values(batch, spec.text_schema()).where(F.col(f"`{spec.surrogate}`").isNotNull())
+            return sink(conform(good, spec, show_unknown=False), name)
+        finally:
+            batch.unpersist()
+
+    return store
+
+
+REJECTED = "position string, key string, value string, reason string"
+
+
+def read_rejects(spark: SparkSession, aside: str) -> DataFrame:
+    """All rejected messages with their batch."""
+    return _stored(spark, aside, T.StructType.fromDDL(REJECTED))
+
+
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     full = T.StructType([*schema, T.StructField(BATCH, T.StringType())])
     if not path_exists(spark, path):
@@ -74,9 +128,6 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
-Sink = Callable[[DataFrame, str], int]
-
-
 def folder_sink(path: str, key: Sequence[str], first_by: Sequence[str]) -> Sink:
     """Store batches with ``insert_batch``."""
     return lambda batch, name: insert_batch(batch, name, path, key, first_by)
@@ -128,14 +179,21 @@ class Subscription:
     sink: Sink
 
 
+def rejects_of(checkpoints: str, spec: TableSpec) -> str:
+    """Where ``consume_all`` sets a table's rejected messages aside."""
+    return f"{checkpoints}-rejects/{spec.qualified}"
+
+
 def consume_all(
     spark: SparkSession, subscriptions: Iterable[Subscription], checkpoints: str, servers: str | None = None,
     timeout: int | None = None,
 ) -> dict[str, int]:
-    """Drain dimensions, then facts; returns the inserted rows per table."""
+    """Drain dimensions, then facts; returns the inserted rows per table. Messages that are no row, because they do not parse
+    or lack the surrogate key, are kept with their position and the reason (``read_rejects``)."""
     inserted = {}
     for sub in sorted(subscriptions, key=lambda s: s.spec.area != "dimensions"):
-        rows = parse_typed(read_topic(spark, sub.topic, servers), sub.spec)
+        messages = read_topic(spark, sub.topic, servers, positions=True)
         name = sub.spec.qualified
-        inserted[name] = drain(rows, f"{checkpoints}/{name}", sub.sink, timeout)
+        sink = judged_sink(sub.spec, sub.sink, rejects_of(checkpoints, sub.spec))
+        inserted[name] = drain(messages, f"{checkpoints}/{name}", sink, timeout)
     return inserted
