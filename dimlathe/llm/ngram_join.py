@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimlathe.llm.common import pick, shuffle_partitions, whole_text
-from dimlathe.session import materialize
+from dimlathe.session import file_system, scratch_path
 
 WORDS = 4
 #: Similarity in percent: 100 * intersection >= PERCENT * union.
@@ -46,6 +46,41 @@ LEAF, FAN, NODE = 8, 4, 512
 #: Classes of a block whose links are counted, about, and tokens that a step of counting takes.
 BLOCK, STEP = 256, 4096
 
+#: Blocks of counts that one task sums up.
+GATHERED = 64
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables of one join in the shared folder. Each is deleted once its successors are written, and the shuffle files that made
+    it go as soon as it is written, so disk holds what is still to be read and not the whole history."""
+
+    def __init__(self, spark):
+        self.spark, self.paths = spark, {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.drop(name)
+        path = scratch_path(self.spark, f"ngram-{name}")
+        before = self.spark.conf.get(_CLEANUP, None)
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEANUP)
+            else:
+                self.spark.conf.set(_CLEANUP, before)
+        self.paths[name] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            path = self.paths.pop(name, None)
+            if path:
+                hadoop_path, files = file_system(self.spark, path)
+                files.delete(hadoop_path, True)
+
+
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
@@ -113,22 +148,33 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     send blocks of partial counts, which are summed by block."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(SLOTS, np.int64)
+        from pyspark import TaskContext
+
+        total = np.zeros(SLOTS, np.int32)  # a task has fewer documents than that counts to
         for batch in batches:
             for text in batch["text"]:
                 np.add.at(total, (shingles(text, words) % np.uint64(SLOTS)).astype(np.int64), 1)
         blocks = total.reshape(-1, SLOT_BLOCK)
-        some = np.flatnonzero(blocks.any(axis=1))
-        for k in some:
-            yield pd.DataFrame({"block": [k], "counts": [blocks[k].astype("<i8").tobytes()]})
+        task = TaskContext.get().partitionId()
+        for k in np.flatnonzero(blocks.any(axis=1)):
+            yield pd.DataFrame({"block": [k], "task": [task], "counts": [blocks[k].astype("<i8").tobytes()]})
 
-    def total(group: pd.DataFrame) -> pd.DataFrame:
+    def gather(group: pd.DataFrame) -> pd.DataFrame:
         summed = sum(np.frombuffer(c, "<i8") for c in group["counts"])
-        return pd.DataFrame({"block": group["block"][:1], "classes": [np.log2(summed + 1).astype(np.uint8).tobytes()]})
+        return pd.DataFrame({"block": group["block"][:1], "task": group["task"][:1] // GATHERED, "counts": [summed.tobytes()]})
+
+    layout = "block int, task int, counts binary"
+    parts = docs.select(whole_text().alias("text")).mapInPandas(count, layout)
+    for _ in range(3):  # up to GATHERED ** 3 tasks, no more than GATHERED blocks in a group
+        parts = parts.groupBy("block", F.floor(F.col("task") / GATHERED).alias("g")).applyInPandas(gather, layout)
+
+    def logs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = [np.log2(np.frombuffer(c, "<i8") + 1).astype(np.uint8).tobytes() for c in batch["counts"]]
+            yield pd.DataFrame({"block": batch["block"], "classes": made})
 
-    parts = docs.select(whole_text().alias("text")).mapInPandas(count, "block int, counts binary")
     # A few MB at any size of the input: SLOTS bytes.
-    rows = parts.groupBy("block").applyInPandas(total, "block int, classes binary").collect()
+    rows = parts.mapInPandas(logs, "block int, classes binary").collect()
     table = np.zeros((SLOTS // SLOT_BLOCK, SLOT_BLOCK), np.uint8)
     for row in rows:
         table[row["block"]] = np.frombuffer(row["classes"], np.uint8)
@@ -136,7 +182,7 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
 
 
 def profiles(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """doc_id, n, digest (of the whole set), prefix (first shingles in the global order) and bits of every row."""
+    """doc_id, n, digest (of the whole set) and rep (64 bits of it), prefix (first shingles in the global order) and bits of every row."""
     table = frequencies(docs, words)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(table)  # SLOTS bytes
@@ -151,31 +197,38 @@ def profiles(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Dat
                 order = np.lexsort((found, shared.value[(found % np.uint64(SLOTS)).astype(np.int64)]))
                 head = found[order[: prefix_length(len(found), percent)]] if len(found) else found
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                rows.append((doc_id, len(found), digest, head.view(np.int64), bitmap(found).tobytes()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "digest", "prefix", "bits"])
+                rep = int.from_bytes(digest[:8], "little", signed=True)
+                rows.append((doc_id, len(found), digest, rep, head.view(np.int64), bitmap(found).tobytes()))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "digest", "rep", "prefix", "bits"])
 
     read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    schema = "doc_id long, n int, digest binary, prefix array<long>, bits binary"
+    schema = "doc_id long, n int, digest binary, rep long, prefix array<long>, bits binary"
     return read.where("doc_id IS NOT NULL").mapInPandas(work, schema)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame:
-    """rep and set of the documents in ``wanted`` (rep)."""
+    """rep and set of the classes in ``wanted`` (rep, name: a document that has the set). A document may stand for other texts too;
+    those are left out."""
 
-    @F.pandas_udf("array<long>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: shingles(t, words).view(np.int64))
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
 
-    read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("rep"), whole_text().alias("text"))
-    kept = read.join(wanted.select(F.col("rep").alias("__w")), F.col("rep") == F.col("__w"), "left_semi")
-    return kept.select("rep", cut("text").alias("set")).dropDuplicates(["rep"])
+        for batch in batches:
+            sets = [shingles(t, words) for t in batch["text"]]
+            reps = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=16).digest()[:8], "little", signed=True) for x in sets]
+            yield pd.DataFrame({"rep": reps, "set": [x.view(np.int64) for x in sets]})
 
+    read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("name"), whole_text().alias("text"))
+    kept = read.join(wanted.select(F.col("name").alias("__w")).distinct(), F.col("name") == F.col("__w"), "left_semi")
+    found = kept.select("text").mapInPandas(cut, "rep long, set array<long>")
+    return found.join(wanted.select(F.col("rep").alias("__r")), F.col("rep") == F.col("__r"), "left_semi").dropDuplicates(["rep"])
 
-def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The pairs (a, b) whose sets reach the threshold, and their overlap. Sets are computed again from the texts of just the
-    documents in question and joined by id; adaptive execution splits an id in many pairs."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
-    sets = materialize(sets_of(docs, wanted, words), "ngram-sets")
+
+def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """The pairs (a, b) of classes whose sets reach the threshold. Sets are computed again from the texts of just the
+    documents in question and joined by class; adaptive execution splits a class in many pairs."""
+    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(classes.select("rep", "name"), "rep")
+    sets = scratch.write(sets_of(docs, scratch.write(wanted, "wanted"), words), "sets")
     left = sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b"))
     joined = pairs.join(left, "a").join(right, "b")
@@ -183,13 +236,13 @@ def verify(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, words: int
     return common.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """node and the smallest node it is connected with, for the nodes of ``links`` (a, b).
 
     Large-star and small-star steps in turn, each an aggregation and a join, until nothing changes. Every step is written to
-    the shared folder.
+    the shared folder and replaces the step before last.
     """
-    edges = materialize(links.select("a", "b").where("a <> b").distinct(), "cc")
+    edges = scratch.write(links.select("a", "b").where("a <> b").distinct(), f"{name}-1")
 
     def state(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first())
@@ -209,10 +262,13 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := state(edges)) != before:
         before = now
-        edges = materialize(star(edges, True), "cc")
-        edges = materialize(star(edges, False), "cc")
+        edges = scratch.write(star(edges, True), f"{name}-0")
+        edges = scratch.write(star(edges, False), f"{name}-1")
+    scratch.drop(f"{name}-0")
     tops = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("component"))
-    return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(tops)
+    found = scratch.write(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).union(tops), name)
+    scratch.drop(f"{name}-1")
+    return found
 
 
 class Tree:
@@ -283,7 +339,7 @@ def traverse(one: Tree, two: Tree, percent: int = PERCENT) -> tuple[np.ndarray,
     return np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept])
 
 
-def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, percent: int = PERCENT) -> DataFrame:
+def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
     """Candidate pairs (a < b) of different components out of groups that hold more than one component."""
     labelled = postings.join(comps, postings["rep"] == comps["node"], "left").select(
         "h", "rep", F.coalesce("component", "rep").alias("component")
@@ -294,15 +350,15 @@ def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, percen
     )
     # Groups with the same members need one visit: their signature is the XOR of the members' hashes, twice.
     open_groups = groups.where("low <> high").groupBy("c", "s1", "s2").agg(F.min("h").alias("h"))
-    open_groups = materialize(open_groups.select(F.col("h").alias("g"), F.ceil(F.col("c") / NODE).cast("int").alias("salts")), "ngram-open")
-    sized = classes.select(F.col("rep").alias("r"), "n", "bits", F.get("prefix", F.lit(0)).alias("first"))
+    open_groups = scratch.write(open_groups.select(F.col("h").alias("g"), F.ceil(F.col("c") / NODE).cast("int").alias("salts")), "open")
+    sized = classes.select(F.col("rep").alias("r"), "n", "bits")
     step = -float(np.log(percent / 100)) / 2
     members = labelled.join(open_groups, F.col("h") == F.col("g")).join(sized, F.col("rep") == F.col("r"))
     members = members.select(
         "h", "rep", "component", "n", "bits",
-        F.struct(F.floor(F.ln("n") / step).cast("int").alias("s"), F.pmod("first", F.col("salts")).cast("int").alias("k")).alias("node"),
+        F.struct(F.floor(F.ln("n") / step).cast("int").alias("s"), F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int").alias("k")).alias("node"),
     )
-    members = materialize(members, "ngram-members")
+    members = scratch.write(members, "members")
     nodes = members.groupBy("h", "node").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     one, two = nodes.toDF("h", "node", "low1", "high1", "c01", "c11"), nodes.toDF("h", "node2", "low2", "high2", "c02", "c12")
     near = one.join(two, "h").where("node <= node2").where(
@@ -379,28 +435,17 @@ def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _dealt(classes: DataFrame, docs: DataFrame, percent: int, words: int) -> DataFrame:
+def _dealt(classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int, words: int) -> DataFrame:
     """Rows for tasks: the classes of two blocks of one component, with their sets. Components of one class have no rows."""
     several = classes.groupBy("component").agg(F.count("*").alias("k")).where("k > 1").select(F.col("component").alias("g"))
     step = -float(np.log(percent / 100)) / 2
     live = classes.join(several, F.col("component") == F.col("g"), "left_semi").withColumn("s", F.floor(F.ln("n") / step).cast("int"))
-    live = materialize(live, "ngram-live")
+    live = scratch.write(live, "live")
     sized = live.groupBy("component", "s").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"), F.min("n").alias("low"), F.max("n").alias("high"))
-    sized = materialize(sized, "ngram-sized")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
+    sized = scratch.write(sized, "sized")
 
-        for batch in batches:
-            sets = [shingles(t, words).tobytes() for t in batch["text"]]
-            yield pd.DataFrame({"digest": [hashlib.blake2b(x, digest_size=16).digest() for x in sets], "set": sets})
-
-    wanted = live.select(F.col("rep").alias("__w")).distinct()
-    read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    read = read.join(wanted, F.col("doc_id") == F.col("__w"), "left_semi")
-    sets = read.mapInPandas(cut, "digest binary, set binary").dropDuplicates(["digest"])
-    members = live.join(sets, "digest").join(sized.select("component", "s", "salts"), ["component", "s"])
-    members = materialize(members.withColumn("k", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).drop("salts"), "ngram-blocks")
+    members = live.join(sets_of(docs, live, words), "rep").join(sized.select("component", "s", "salts"), ["component", "s"])
+    members = scratch.write(members.withColumn("k", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).drop("salts"), "blocks")
     blocks = sized.select("component", "s", "low", "high", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("k"))
     one, two = blocks.toDF("component", "s1", "low1", "high1", "k1"), blocks.toDF("component", "s2", "low2", "high2", "k2")
     near = one.join(two, "component").where("s1 < s2 OR s1 = s2 AND k1 <= k2").where(F.col("high1") * 100 >= F.col("low2") * percent)
@@ -438,7 +483,7 @@ def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
             return i, j
         x, y = np.unique(i), np.unique(j)
         sets = rows["set"].tolist()
-        both = overlaps([np.frombuffer(sets[k], np.uint64) for k in x], [np.frombuffer(sets[k], np.uint64) for k in y])
+        both = overlaps([sets[k].view(np.uint64) for k in x], [sets[k].view(np.uint64) for k in y])
         common = both[np.searchsorted(x, i), np.searchsorted(y, j)]
         close = common * 100 >= (sizes[i] + sizes[j] - common) * percent
         return i[close], j[close]
@@ -472,19 +517,66 @@ def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
     return dealt.mapInPandas(search, "a binary, b binary" if pairs else "digest binary, links long")
 
 
-def _classes(docs: DataFrame, joined: DataFrame, made: DataFrame) -> DataFrame:
-    """digest, rep, component, n, bits and copies (how many documents) of every class of equal sets."""
-    tops = joined.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("node")).agg(F.min("component_id").alias("component"))
-    full = made.where("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.count("*").alias("copies")
+def classified(docs: DataFrame, made: DataFrame, scratch: Scratch, percent: int, words: int) -> DataFrame:
+    """Every class of equal sets: rep, name (its smallest doc_id), n, digest, bits, copies (rows that have it), component and top,
+    the smallest doc_id of its component. Classes are known by their sets, so a doc_id with several texts stands for several;
+    these are in one component."""
+    whole = made.where("n > 0")
+    classes = scratch.write(
+        whole.groupBy("rep").agg(
+            F.min("doc_id").alias("name"), F.first("n").alias("n"), F.first("digest").alias("digest"), F.first("bits").alias("bits"),
+            F.count("*").alias("copies"),
+        ),
+        "classes",
     )
-    return materialize(full.join(tops, F.col("rep") == F.col("node")).drop("node"), "ngram-linked")
+    # Of equal sets any row has the prefix; the first row's is taken before the shingles are dealt out.
+    firsts = whole.groupBy("rep").agg(F.first("prefix").alias("prefix"))
+    postings = scratch.write(firsts.select("rep", F.explode("prefix").alias("h")), "prefixes")
+    shared = postings.groupBy("h").agg(F.min("rep").alias("lead"), F.count("*").alias("c")).where("c > 1")
+    shared = scratch.write(shared.select(F.col("h").alias("g"), "lead"), "shared")
+    common = scratch.write(postings.join(shared, F.col("h") == F.col("g")).select("rep", "h", "lead"), "postings")
+    scratch.drop("prefixes", "shared")
+    stars = common.where("rep <> lead").groupBy(F.col("rep").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
+    first = scratch.write(verify(scratch.write(stars, "stars"), classes, docs, scratch, percent, words), "links")
+    comps = components(first, scratch, "components")
+    pairs = scratch.write(tree_pairs(common.select("h", "rep"), classes, comps, scratch, percent), "pairs")
+    scratch.drop("postings", "members", "open")
+    second = verify(pairs, classes, docs, scratch, percent, words)
+    # The classes of one id hang together.
+    ids = whole.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("z")).where("b <> z")
+    twins = whole.select("doc_id", F.col("rep").alias("a")).join(ids.select("doc_id", "b"), "doc_id").select("a", "b")
+    final = components(first.union(second).union(twins), scratch, "final")
+    scratch.drop("sets", "wanted", "pairs", "links", "stars", "components")
+    placed = classes.join(final, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+    tops = placed.groupBy(F.col("component").alias("__c")).agg(F.min("name").alias("top"))
+    found = scratch.write(placed.join(tops, F.col("component").eqNullSafe(F.col("__c"))).drop("__c"), "classified")
+    scratch.drop("classes", "final")
+    return found
+
+
+def _prepared(docs: DataFrame, percent: int, words: int) -> tuple[Scratch, DataFrame, DataFrame]:
+    """Scratch space, the narrow rows of all documents with an id (doc_id, n, rep), and the classes."""
+    scratch = Scratch(docs.sparkSession)
+    made = scratch.write(profiles(docs, percent, words), "profiles")
+    rows = scratch.write(made.select("doc_id", "n", "rep"), "rows")
+    classes = classified(docs, made, scratch, percent, words)
+    scratch.drop("profiles")
+    return scratch, rows, classes
+
+
+def _nameless(docs: DataFrame, words: int) -> DataFrame:
+    @F.pandas_udf("long")
+    def count(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: len(shingles(t, words)))
+
+    lost = pick(docs, "doc_id", "text").where("doc_id IS NULL")
+    return lost.select(F.lit(None).cast("long").alias("doc_id"), count(whole_text()).alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
 
 
 def class_pairs(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """a, b: all linked pairs of different classes by their digests, each pair once. With the classes' members these are all links."""
-    made = materialize(profiles(docs, percent, words), "ngram-profiles")
-    return _searched(_dealt(_classes(docs, join(docs, percent, words, made), made), docs, percent, words), percent, True)
+    scratch, _, classes = _prepared(docs, percent, words)
+    return _searched(_dealt(classes, docs, scratch, percent, words), percent, True)
 
 
 def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -492,57 +584,31 @@ def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataF
 
     Rows of equal sets are linked with each other. A row without words or doc_id has no links.
     """
-    made = materialize(profiles(docs, percent, words), "ngram-profiles")
-    joined = materialize(join(docs, percent, words, made), "ngram-joined")
-    classes = _classes(docs, joined, made)
-    others = _searched(_dealt(classes, docs, percent, words), percent, False).groupBy("digest").agg(F.sum("links").alias("others"))
-    counts = classes.join(others, "digest", "left").select("digest", "component", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    with_id = made.select("doc_id", "n", "digest").join(counts, "digest", "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    scratch, rows, classes = _prepared(docs, percent, words)
+    dealt = _dealt(classes, docs, scratch, percent, words)
+    others = scratch.write(_searched(dealt, percent, False).groupBy("digest").agg(F.sum("links").alias("others")), "others")
+    scratch.drop("blocks", "live", "sized")
+    links = F.col("copies") - 1 + F.coalesce("others", F.lit(0))
+    known = classes.join(others, "digest", "left").select(F.col("rep").alias("__r"), "top", links.alias("n_links"))
+    with_id = rows.join(known, F.col("rep").eqNullSafe(F.col("__r")), "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
-    return with_id.unionByName(joined.where("doc_id IS NULL").withColumn("n_links", F.lit(0).cast("long")))
+    return with_id.unionByName(_nameless(docs, words).withColumn("n_links", F.lit(0).cast("long")))
 
 
-def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, made: DataFrame | None = None) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row. ``made`` are the rows' profiles, where they are there already.
+def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row.
 
     A null or wordless text has the empty set and is its own component. Rows with equal ids count as documents of their
     own with one name: links of any of them hold for the id. A null doc_id gives a row with a null component that is linked with
     nothing. Other columns are left out. An empty table gives no rows.
     """
-    made = materialize(profiles(docs, percent, words), "ngram-profiles") if made is None else made
-    full = made.where("n > 0")
-    classes = materialize(
-        full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
-        "ngram-classes",
-    )
-    postings = classes.select("rep", "n", F.explode("prefix").alias("h"))
-    shared = postings.groupBy("h").agg(F.min("rep").alias("lead"), F.count("*").alias("c")).where("c > 1")
-    common = postings.join(shared.select(F.col("h").alias("g"), "lead"), F.col("h") == F.col("g")).select("rep", "n", "h", "lead")
-    common = materialize(common, "ngram-postings")
-    stars = common.where("rep <> lead").groupBy(F.col("rep").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
-    first = materialize(verify(materialize(stars, "ngram-stars"), docs, percent, words), "ngram-links")
-    comps = materialize(components(first), "ngram-components")
-    pairs = materialize(tree_pairs(common.select("h", "rep"), classes, comps, percent), "ngram-pairs")
-    second = verify(pairs, docs, percent, words)
-    # Rows of one id with different texts: the id is linked with each class it stands for.
-    named = classes.select("digest", "rep")
-    held = made.select("doc_id", "n", "digest").join(named, "digest", "left")
-    twins = held.where("doc_id <> rep").groupBy("doc_id").agg(F.count_distinct("rep").alias("k")).where("k > 1")
-    extra = held.join(twins.select("doc_id"), "doc_id", "left_semi").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    final = materialize(components(first.union(second).union(extra.where("a is not null"))), "ngram-final")
-    out = held.join(final, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")
-    )
-    lost = pick(docs, "doc_id", "text").where("doc_id IS NULL")
-
-    @F.pandas_udf("long")
-    def count(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: len(shingles(t, words)))
-
-    return out.unionByName(
-        lost.select(F.lit(None).cast("long").alias("doc_id"), count(whole_text()).alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
+    _, rows, classes = _prepared(docs, percent, words)
+    known = classes.select(F.col("rep").alias("__r"), "top")
+    out = rows.join(known, F.col("rep").eqNullSafe(F.col("__r")), "left").select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id")
     )
+    return out.unionByName(_nameless(docs, words))
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -114,6 +114,17 @@ def test_ngram_join_equals_brute_force(spark, docs, nothing):
     assert ngram_join.join(nothing).count() == 0
 
 
+def test_an_id_with_two_texts_keeps_the_links_of_both(spark):
+    random.seed(9)
+    one, two = ([f"{side}{random.randrange(900)}" for _ in range(60)] for side in "pq")
+    near = two[:-1] + ["other"]
+    rows = [(1, " ".join(one)), (1, " ".join(two)), (2, " ".join(near)), (3, " ".join(one[:-1])), (0, "far from all of these words"), (4, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, ngram_join.join(frame).collect())) == sorted(brute_components(rows, 85))
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["n_links"]) for r in ngram_join.linked(frame).collect()}
+    assert got[(2, 57)] == (1, 1) and got[(3, 56)] == (1, 1) and got[(0, 3)] == (0, 0)
+
+
 def test_links_within_a_family_are_all_counted(spark, docs, nothing):
     random.seed(8)
     base = [[f"w{random.randrange(4000)}" for _ in range(n)] for n in (60, 400)]
