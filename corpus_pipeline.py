@@ -17,11 +17,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Rows without an id all stay."""
+    """One document of each group of near copies: the one with the smallest id. Rows without an id all stay, and where that
+    id stands for several texts, each of them stays once."""
     docs = pick(docs, *DOCUMENT_COLUMNS)
     joined = ngram_join.join(docs).where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
     kept = docs.join(joined, F.col("doc_id") == F.col("__id"), "left_semi")
-    one_each = keep_first(kept, ["doc_id"], ["text", "lang", "source", "n_chars"])
+    named = kept.withColumn("__text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    one_each = keep_first(named, ["doc_id", "__text"], ["text", "lang", "source", "n_chars"]).drop("__text")
     return one_each.unionByName(docs.where("doc_id IS NULL"))
 
 
