@@ -228,7 +228,8 @@ def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scrat
     """The pairs (a, b) of classes whose sets reach the threshold. Sets are computed again from the texts of just the
     documents in question and joined by class; adaptive execution splits a class in many pairs."""
     wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(classes.select("rep", "name"), "rep")
-    sets = scratch.write(sets_of(docs, scratch.write(wanted, "wanted"), words), "sets")
+    # One shuffle of the sets by class serves both joins.
+    sets = sets_of(docs, scratch.write(wanted, "wanted"), words)
     left = sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a"))
     right = sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b"))
     joined = pairs.join(left, "a").join(right, "b")
@@ -444,8 +445,8 @@ def _dealt(classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int,
     sized = live.groupBy("component", "s").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"), F.min("n").alias("low"), F.max("n").alias("high"))
     sized = scratch.write(sized, "sized")
 
-    members = live.join(sets_of(docs, live, words), "rep").join(sized.select("component", "s", "salts"), ["component", "s"])
-    members = scratch.write(members.withColumn("k", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).drop("salts"), "blocks")
+    members = live.join(sized.select("component", "s", "salts"), ["component", "s"])
+    members = members.withColumn("k", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int")).drop("salts")
     blocks = sized.select("component", "s", "low", "high", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("k"))
     one, two = blocks.toDF("component", "s1", "low1", "high1", "k1"), blocks.toDF("component", "s2", "low2", "high2", "k2")
     near = one.join(two, "component").where("s1 < s2 OR s1 = s2 AND k1 <= k2").where(F.col("high1") * 100 >= F.col("low2") * percent)
@@ -456,7 +457,9 @@ def _dealt(classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int,
     keys = ["component", "s1", "k1", "s2", "k2"]
     spark = classes.sparkSession
     parts = max(shuffle_partitions(spark), spark.sparkContext.defaultParallelism) * 2
-    dealt = members.join(sides, ["component", "s", "k"]).select(*keys, "side", "digest", "rep", "n", "bits", "copies", "set")
+    # Narrow rows are dealt first; the sets join last and move once to their class and once to each task that compares them.
+    narrow = scratch.write(members.join(sides, ["component", "s", "k"]).select(*keys, "side", "digest", "rep", "n", "bits", "copies"), "dealt")
+    dealt = narrow.join(sets_of(docs, live, words), "rep").select(*keys, "side", "digest", "rep", "n", "bits", "copies", "set")
     return dealt.repartition(parts, *keys).sortWithinPartitions(*keys, "side", "n", "digest")
 
 
@@ -517,7 +520,7 @@ def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
     return dealt.mapInPandas(search, "a binary, b binary" if pairs else "digest binary, links long")
 
 
-def classified(docs: DataFrame, made: DataFrame, scratch: Scratch, percent: int, words: int) -> DataFrame:
+def classified(docs: DataFrame, made: DataFrame, rows: DataFrame, scratch: Scratch, percent: int, words: int) -> DataFrame:
     """Every class of equal sets: rep, name (its smallest doc_id), n, digest, bits, copies (rows that have it), component and top,
     the smallest doc_id of its component. Classes are known by their sets, so a doc_id with several texts stands for several;
     these are in one component."""
@@ -535,18 +538,25 @@ def classified(docs: DataFrame, made: DataFrame, scratch: Scratch, percent: int,
     shared = postings.groupBy("h").agg(F.min("rep").alias("lead"), F.count("*").alias("c")).where("c > 1")
     shared = scratch.write(shared.select(F.col("h").alias("g"), "lead"), "shared")
     common = scratch.write(postings.join(shared, F.col("h") == F.col("g")).select("rep", "h", "lead"), "postings")
-    scratch.drop("prefixes", "shared")
-    stars = common.where("rep <> lead").groupBy(F.col("rep").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
+    scratch.drop("prefixes", "shared", "profiles")
+    # A leader of unlike size cannot be near, so it is not worth fetching its set.
+    sizes = classes.select(F.col("rep").alias("__r"), "n")
+    told = common.where("rep <> lead").select("rep", "lead").distinct()
+    told = told.join(sizes.withColumnRenamed("n", "n1"), F.col("rep") == F.col("__r")).drop("__r")
+    told = told.join(sizes.withColumnRenamed("n", "n2"), F.col("lead") == F.col("__r"))
+    told = told.where(F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
+    stars = told.groupBy(F.col("rep").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
     first = scratch.write(verify(scratch.write(stars, "stars"), classes, docs, scratch, percent, words), "links")
     comps = components(first, scratch, "components")
     pairs = scratch.write(tree_pairs(common.select("h", "rep"), classes, comps, scratch, percent), "pairs")
     scratch.drop("postings", "members", "open")
     second = verify(pairs, classes, docs, scratch, percent, words)
     # The classes of one id hang together.
-    ids = whole.select("doc_id", "rep").groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("z")).where("b <> z")
-    twins = whole.select("doc_id", F.col("rep").alias("a")).join(ids.select("doc_id", "b"), "doc_id").select("a", "b")
+    held = rows.where("n > 0")
+    ids = held.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("z")).where("b <> z")
+    twins = held.select("doc_id", F.col("rep").alias("a")).join(ids.select("doc_id", "b"), "doc_id").select("a", "b")
     final = components(first.union(second).union(twins), scratch, "final")
-    scratch.drop("sets", "wanted", "pairs", "links", "stars", "components")
+    scratch.drop("wanted", "pairs", "links", "stars", "components")
     placed = classes.join(final, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
     tops = placed.groupBy(F.col("component").alias("__c")).agg(F.min("name").alias("top"))
     found = scratch.write(placed.join(tops, F.col("component").eqNullSafe(F.col("__c"))).drop("__c"), "classified")
@@ -559,9 +569,7 @@ def _prepared(docs: DataFrame, percent: int, words: int) -> tuple[Scratch, DataF
     scratch = Scratch(docs.sparkSession)
     made = scratch.write(profiles(docs, percent, words), "profiles")
     rows = scratch.write(made.select("doc_id", "n", "rep"), "rows")
-    classes = classified(docs, made, scratch, percent, words)
-    scratch.drop("profiles")
-    return scratch, rows, classes
+    return scratch, rows, classified(docs, made, rows, scratch, percent, words)
 
 
 def _nameless(docs: DataFrame, words: int) -> DataFrame:
@@ -587,7 +595,7 @@ def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataF
     scratch, rows, classes = _prepared(docs, percent, words)
     dealt = _dealt(classes, docs, scratch, percent, words)
     others = scratch.write(_searched(dealt, percent, False).groupBy("digest").agg(F.sum("links").alias("others")), "others")
-    scratch.drop("blocks", "live", "sized")
+    scratch.drop("dealt", "live", "sized")
     links = F.col("copies") - 1 + F.coalesce("others", F.lit(0))
     known = classes.join(others, "digest", "left").select(F.col("rep").alias("__r"), "top", links.alias("n_links"))
     with_id = rows.join(known, F.col("rep").eqNullSafe(F.col("__r")), "left").select(
