@@ -164,8 +164,10 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
         return pd.DataFrame({"block": group["block"][:1], "task": group["task"][:1] // GATHERED, "counts": [summed.tobytes()]})
 
     layout = "block int, task int, counts binary"
-    parts = docs.select(whole_text().alias("text")).mapInPandas(count, layout)
-    for _ in range(3):  # up to GATHERED ** 3 tasks, no more than GATHERED blocks in a group
+    texts = docs.select(whole_text().alias("text"))
+    parts, tasks = texts.mapInPandas(count, layout), texts.rdd.getNumPartitions()
+    while tasks > 1:  # no more than GATHERED blocks come together in a group
+        tasks = -(-tasks // GATHERED)
         parts = parts.groupBy("block", F.floor(F.col("task") / GATHERED).alias("g")).applyInPandas(gather, layout)
 
     def logs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
