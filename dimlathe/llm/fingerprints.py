@@ -4,8 +4,9 @@ A text's lines are cut into pieces of a few dozen code points where their conten
 around it only. Pieces are hashed to 64-bit digests: 36 bits of hash, 8 of length, 20 of check of the other 44. Each digest goes into three cells, one in
 each third of the table; a cell holds the XOR of its digests. Sketches of two versions are subtracted cell by cell, by XOR: what
 both hold cancels. Peeling then takes digests out of cells whose check says that they hold just one, until nothing is left;
-that yields the digests that differ. Where it gets stuck it is retried with larger sketches, and in the end on the
-plain digests. Likeness is the share of code points in pieces
+that yields the digests that differ. Where the published sketch gets stuck it is retried with a larger one: blocks of a
+few cells, as many blocks as the two texts' pieces need, each peeled on its own. A block that gets stuck is retried as four, with other cells, and so on
+until all are peeled. So cells are folded into short arrays only, and the work is linear in the pieces. Likeness is the share of code points in pieces
 that don't differ.
 
 Native: built-in expressions only.
@@ -13,14 +14,20 @@ Native: built-in expressions only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dimlathe.llm.common import parts_for, pick, whole_text
 
-#: Cells of the published fingerprint, and of each retry.
-CELLS = (48, 240, 1200, 6000)
+#: Cells of a block, a multiple of three and 63 at most, and blocks of the published fingerprint.
+BLOCK, BLOCKS = 18, 3
+#: Digests of both versions in a block of the first retry, on average.
+LOAD = 6
+#: Retries: the n-th has up to 4^n times as many cells as the first. Two digests stay together in all of them with a chance of 4^-40.
+RETRIES = 40
 #: Code points of a piece: at least (but at a line's end), at most where words or sentences end, at most anywhere. Below 256.
 LEAST, USUAL, MOST = 24, 72, 250
 #: A piece ends behind a mark, or a word that ends in one of some letters; where no word ends, behind one of some frequent characters.
@@ -28,8 +35,8 @@ PIECES = (
     rf"(?:.{{{LEAST},{USUAL}}}?(?:[.!?;:,\u3002\uff0c\uff01\uff1f\u3001]+\s*|[aehnory0-4\u00e9\u0430\u043e\u0435](?=\s)\s+|$)"
     rf"|.{{{LEAST},{MOST - 1}}}?[aeio048\u306e\u306f\u3092\u306b\u7684\u662f\u4e86\u4e00\u0e32\u0e19]|.{{1,{USUAL}}})"
 )
-#: Rounds of peeling; each takes all single cells at once.
-ROUNDS = 24
+#: Rounds of peeling; each takes all single cells at once. A block holds no more digests than cells if it peels.
+ROUNDS = BLOCK
 #: Rows of a bucket, about, in which a document finds the next one.
 BUCKET_ROWS = 20_000
 BUCKETS = 1024
@@ -59,66 +66,99 @@ def checked(h: Column) -> Column:
 
 def numbered(digests: str) -> Column:
     """The digests of the column in order, the second of equal ones hashed once more, and so on."""
-    d = F.col(digests)
-    ordered = F.sort_array(d)
-    state = F.aggregate(
-        ordered,
-        F.struct(F.lit(0).cast("long").alias("last"), F.lit(0).alias("k"), F.array().cast("array<bigint>").alias("out")),
-        lambda s, x: F.struct(
-            x.alias("last"),
-            F.when((s["last"] == x) & (F.size(s["out"]) > 0), s["k"] + 1).otherwise(0).alias("k"),
-            F.concat(
-                s["out"],
-                F.array(F.when((s["last"] == x) & (F.size(s["out"]) > 0), sized(F.xxhash64(x, s["k"] + 1), F.shiftrightunsigned(x, 20).bitwiseAND(255))).otherwise(x)),
-            ).alias("out"),
-        ),
-        lambda s: s["out"],
+    again = "xxhash64(x, k)"
+    length = length_of("x")
+    other = f"(shiftright({again}, 28) << 28 | {length} << 20)"
+    other = f"((shiftrightunsigned({other}, 20) << 20) | (xxhash64(11, shiftrightunsigned({other}, 20)) & 1048575))"
+    runs = "filter(sequence(0, size(s) - 1), i -> i = 0 OR get(s, i) <> get(s, i - 1))"
+    # A run of equal digests starts at a place of r and ends before the next place.
+    told = f"""flatten(transform(r, (f, j) -> transform(array(get(s, f)), x ->
+        transform(sequence(0, coalesce(get(r, j + 1), size(s)) - f - 1), k -> IF(k = 0, x, {other})))[0]))"""
+    ordered = f"sort_array({digests})"
+    return F.expr(
+        f"IF(size(array_distinct({digests})) = size({digests}), {ordered}, "
+        f"transform(array({ordered}), s -> transform(array({runs}), r -> {told})[0])[0])"
     )
-    return F.when(F.size(F.array_distinct(d)) == F.size(d), ordered).otherwise(state)
 
 
-def _place(digest: str, k: int, third: int) -> str:
-    """SQL: the digest's cell in the k-th third of the table."""
-    return f"int(pmod(xxhash64({k}, {digest}), {third}) + {k * third})"
+def _places(digest: str, seed: str) -> str:
+    """SQL: a mask of the digest's cells, one in each third of the block."""
+    third = BLOCK // 3
+    one = [f"shiftleft(1L, int(pmod(shiftright(h, {21 * k}) & 1048575, {third})) + {k * third})" for k in range(3)]
+    return f"transform(array(xxhash64({seed}, {digest})), h -> {' | '.join(one)})[0]"
 
 
-def _put(cells: str, digest: str, size: int) -> str:
-    """SQL: the cells with the digest put in, or taken out, of its three."""
-    places = ", ".join(_place(digest, k, size // 3) for k in range(3))
+def _put(cells: str, digests: str, seed: str) -> str:
+    """SQL: the cells with all digests put in, or taken out, each of its three."""
     return (
-        f"aggregate(array({places}), {cells}, (a, c) -> "
-        f"concat(slice(a, 1, c), array(get(a, c) ^ {digest}), slice(a, c + 2, {size} - 1 - c)))"
+        f"aggregate(transform({digests}, d -> named_struct('d', d, 'm', {_places('d', seed)})), {cells}, "
+        "(cells, e) -> transform(cells, (x, i) -> IF(shiftright(e.m, i) & 1 = 1, x ^ e.d, x)))"
     )
 
 
-def sketch(digests: str, size: int = CELLS[0]) -> str:
-    """SQL: the cells of an array of digests."""
-    return f"aggregate({digests}, array_repeat(0L, {size}), (cells, d) -> {_put('cells', 'd', size)})"
+def block(digests: str, seed: str) -> str:
+    """SQL: the cells of one block of digests."""
+    return _put(f"array_repeat(0L, {BLOCK})", digests, seed)
+
+
+def _block_of(digest: str, blocks: str) -> str:
+    """SQL: the digest's block, from 0: equal ranges of the hash, in the order of digests."""
+    return f"shiftright((shiftright({digest}, 28) + {1 << 35}L) * {blocks}, 36)"
+
+
+def sketch(digests: str) -> str:
+    """SQL: the published cells of an array of digests, by block."""
+    cells = block(f"filter(v, d -> {_block_of('d', str(BLOCKS))} = j)", "0")
+    return f"transform(array({digests}), v -> transform(sequence(0, {BLOCKS - 1}), j -> {cells}))[0]"
 
 
 def subtract(a: str, b: str) -> str:
     return f"zip_with({a}, {b}, (x, y) -> x ^ y)"
 
 
-def peel(difference: str, size: int) -> str:
-    """SQL: the digests that a subtracted sketch holds, null where peeling gets stuck."""
+def peel(difference: str, seed: str) -> str:
+    """SQL: the digests that a subtracted block holds, null where peeling gets stuck."""
     single = "x <> 0 AND (x & 1048575) = (xxhash64(11, shiftrightunsigned(x, 20)) & 1048575)"
-    emptied = f"aggregate(s.pure, s.cells, (cells, d) -> {_put('cells', 'd', size)})"
+    emptied = _put("s.cells", "s.pure", seed)
     return f"""aggregate(
       sequence(1, {ROUNDS}),
       named_struct('cells', {difference}, 'pure', array(0L), 'out', array(0L)),
-      (s, k) -> CASE WHEN k > 1 AND size(s.pure) = 0 THEN s ELSE
-        transform(array(IF(k = 1, s.cells, {emptied})), cells -> named_struct(
+      (s, n) -> CASE WHEN n > 1 AND size(s.pure) = 0 THEN s ELSE
+        transform(array(IF(n = 1, s.cells, {emptied})), cells -> named_struct(
           'cells', cells, 'pure', array_distinct(filter(cells, x -> {single})), 'out', concat(s.out, s.pure)))[0] END,
       s -> IF(size(s.pure) = 0 AND forall(s.cells, x -> x = 0), array_remove(s.out, 0L), NULL))"""
 
 
+def grown(a: str, b: str) -> str:
+    """SQL: the digests in which two arrays differ, by blocks that are split while they are stuck.
+
+    As subtraction is XOR like putting in, one version's digests are put into the cells of the other's, which subtracts them. Sorted
+    digests of both are cut into blocks where the block's number changes.
+    """
+    count = f"greatest(1, int(ceil((size({a}) + size({b})) / {LOAD}.0D)))"
+    numbers = f"transform(v.d, d -> {_block_of('d', 'v.n')})"
+    starts = "filter(sequence(0, size(w) - 1), i -> i = 0 OR get(w, i) <> get(w, i - 1))"
+    dealt = "transform(r, (f, j) -> transform(sequence(f, coalesce(get(r, j + 1), size(w)) - 1), i -> get(v.d, i)))"
+    blocks = f"""IF(size({a}) + size({b}) = 0, array_repeat(array_repeat(0L, 0), 0),
+        transform(array(named_struct('n', {count}, 'd', sort_array(concat({a}, {b})))), v ->
+        transform(array({numbers}), w -> transform(array({starts}), r -> {dealt})[0])[0])[0])"""
+    split = "transform(sequence(0, 3), j -> filter(y.x, d -> pmod(xxhash64(-k, d), 4) = j))"
+    return f"""aggregate(
+      sequence(1, {RETRIES}),
+      named_struct('left', {blocks}, 'out', array(0L)),
+      (g, k) -> IF(size(g.left) = 0, g, transform(array(transform(g.left, x -> named_struct('x', x, 'd', {peel(block("x", "k"), "k")}))), t ->
+        named_struct(
+          'left', flatten(transform(filter(t, y -> y.d IS NULL), y -> {split})),
+          'out', concat(g.out, flatten(transform(filter(t, y -> y.d IS NOT NULL), y -> y.d)))))[0]),
+      g -> IF(size(g.left) = 0, array_remove(g.out, 0L), NULL))"""
+
+
 def difference(a: str, b: str, sketch_a: str, sketch_b: str) -> str:
-    """SQL: the digests in which two columns of digests differ, by the smallest sketch that peels. The columns' first sketches are
-    given. A sketch with fewer cells than digests that must differ cannot peel and is not tried."""
-    tries = [peel(subtract(sketch_a, sketch_b), CELLS[0])]
-    tries += [f"IF(abs(size({a}) - size({b})) <= {m}, {peel(subtract(sketch(a, m), sketch(b, m)), m)}, NULL)" for m in CELLS[1:]]
-    return f"coalesce({', '.join(tries)}, concat(array_except({a}, {b}), array_except({b}, {a})))"
+    """SQL: the digests in which two columns of digests differ. The columns' published sketches, given, are tried first, but not where
+    more digests must differ than they have cells."""
+    each = f"zip_with({sketch_a}, {sketch_b}, (g, h) -> {peel(subtract('g', 'h'), '0')})"
+    first = f"transform(array({each}), t -> IF(exists(t, y -> y IS NULL), NULL, flatten(t)))[0]"
+    return f"coalesce(IF(abs(size({a}) - size({b})) <= {BLOCK * BLOCKS}, {first}, NULL), {grown(a, b)})"
 
 
 def differing(a: str, b: str, sketch_a: str, sketch_b: str) -> Column:
@@ -138,12 +178,13 @@ def likeness(differ: str, a: str, b: str) -> Column:
 
 def as_text(cells: str, digests: str, n_chars: str) -> Column:
     """A fingerprint's text: code points and paragraphs, then the filled cells by place."""
-    filled = f"filter(transform({cells}, (x, i) -> IF(x = 0, NULL, concat(string(i), ':', lower(hex(x))))), x -> x IS NOT NULL)"
+    filled = f"filter(transform(flatten({cells}), (x, i) -> IF(x = 0, NULL, concat(string(i), ':', lower(hex(x))))), x -> x IS NOT NULL)"
     return F.expr(f"concat({n_chars}, '/', size({digests}), ';', array_join({filled}, ';'))")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """bucket, doc_id, text and next_text: the text of the next row by doc_id (nulls last, ties by the text), after the last the first.
+def with_next(docs: DataFrame, made: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """bucket, doc_id, text, the columns that ``made`` adds, and each but the first two once more as next_*: those of the next row by
+    doc_id (nulls last, ties by the text), after the last the first.
 
     Rows are dealt to buckets by quantiles of doc_id, whole ids to one bucket, and each bucket is sorted once. The first id of
     every bucket is also sent to the bucket before it, so no row needs a second shuffle. At most ``BUCKETS`` bounds reach the driver.
@@ -153,7 +194,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     ids = read.select(F.col("doc_id").cast("long").alias("doc_id"))
     count = ids.count()
     if not count:
-        return read.select(F.lit(0).alias("bucket"), "*", F.lit(None).cast("string").alias("next_text"))
+        empty = made(read.select(F.lit(0).alias("bucket"), "*"))
+        return empty.select("*", *(F.col(c).alias(f"next_{c}") for c in empty.columns[2:]))
     wanted = min(BUCKETS, parts_for(spark, count, BUCKET_ROWS) * 4)
     shares = F.array(*(F.lit(k / wanted) for k in range(1, wanted)))
     bounds = ids.agg(F.percentile_approx("doc_id", shares, F.lit(10_000)).alias("b")).first()["b"] or []
@@ -171,12 +213,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     both = placed.withColumn("guest", F.lit(0)).unionByName(guests)
     order = W.partitionBy("bucket").orderBy("guest", F.col("doc_id").asc_nulls_last(), "text")
     parts = parts_for(spark, len(firsts), 4)
-    return (
-        both.repartition(parts, "bucket")
-        .select("bucket", "doc_id", "text", "guest", F.lead("text").over(order).alias("next_text"))
-        .where("guest = 0")
-        .drop("guest")
-    )
+    dealt = made(both.select("bucket", "doc_id", "text", "guest").repartition(parts, "bucket"))
+    handed = [c for c in dealt.columns if c not in ("bucket", "doc_id", "guest")]
+    return dealt.select("*", *(F.lead(c).over(order).alias(f"next_{c}") for c in handed)).where("guest = 0").drop("guest")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -191,24 +230,17 @@ def compare(docs: DataFrame) -> DataFrame:
     A null text counts as empty: no paragraphs, and two texts without any are alike (1). Rows stay rows, also repeated ones; other
     columns are left out; a single row is its own next; an empty table gives no rows.
     """
-    rows = with_next(docs).withColumn("edited", edited(F.col("text"), F.col("next_text")))
-    keys = ["bucket", "row", "doc_id", "n_chars", "edited_chars", "edited_sha256"]
-    raw = rows.select(
-        "bucket", F.monotonically_increasing_id().alias("row"), "doc_id", F.length("text").cast("long").alias("n_chars"), F.length("edited").cast("long").alias("edited_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        paragraphs(F.col("text")).alias("p"), paragraphs(F.col("edited")).alias("q"), paragraphs(F.col("next_text")).alias("r"),
+    def made(df: DataFrame) -> DataFrame:
+        cut = df.withColumn("raw", paragraphs(F.col("text"))).withColumn("p", numbered("raw")).drop("raw")
+        return cut.withColumn("sp", F.expr(sketch("p")))
+
+    rows = with_next(docs, made).withColumn("edited", edited(F.col("text"), F.col("next_text")))
+    told = rows.select(
+        "doc_id", "p", "sp", F.col("next_p").alias("r"), F.col("next_sp").alias("sr"),
+        F.length("text").cast("long").alias("n_chars"), F.length("edited").cast("long").alias("edited_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), paragraphs(F.col("edited")).alias("raw"),
     )
-    told = raw.select(*keys, *(numbered(c).alias(c) for c in "pqr"))
-    # Cells by aggregation: one row per paragraph, one XOR per cell. Rows of a bucket are together already, so nothing
-    # moves; the digests are gathered again for retries.
-    versions = F.array(*(F.struct(F.lit(v).alias("version"), F.col(v).alias("digests")) for v in "pqr"))
-    each = told.select(*keys, F.inline(versions)).select(*keys, "version", F.explode_outer("digests").alias("d"))
-    third = CELLS[0] // 3
-    each = each.select("*", *(F.expr(f"{_place('d', k, third)}").alias(f"c{k}") for k in range(3)))
-    cells = [F.coalesce(F.bit_xor(F.when(F.col(f"c{i // third}") == i, F.col("d"))), F.lit(0)) for i in range(CELLS[0])]
-    made = each.groupBy(*keys, "version").agg(F.struct(F.array(*cells).alias("cells"), F.collect_list("d").alias("digests")).alias("v"))
-    wide = made.groupBy(*keys).agg(*(F.first(F.when(F.col("version") == v, F.col("v")), True).alias(v) for v in "pqr"))
-    sketched = wide.select(*keys, *(F.col(f"{v}.digests").alias(v) for v in "pqr"), *(F.col(f"{v}.cells").alias(f"s{v}") for v in "pqr"))
+    sketched = told.withColumn("q", numbered("raw")).drop("raw").withColumn("sq", F.expr(sketch("q")))
     return sketched.select(
         "doc_id", "n_chars", "edited_sha256",
         as_text("sp", "p", "n_chars").alias("fingerprint"),
