@@ -29,14 +29,17 @@ LABELLED = 400
 SMOOTHING = 1.0
 #: Log odds of a name that says what it is and that the sample does not hold.
 MEANT = -40.0
+#: Most log odds that a tag, a length or a share of links can give, so that a short, listed or linked block in an article goes with its parent.
+LIMIT = 0.8
 
 # Names of HTML elements by role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style template noscript head title svg math iframe object select textarea button".split())
+HIDDEN = frozenset("script style template noscript head title svg iframe object select textarea button".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong "
-    "sub sup time tt u var br wbr img".split()
+    "sub sup time tt u var br wbr img math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover semantics".split()
 )
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr "
     "main menu nav ol p pre section table ul".split()
@@ -49,20 +52,23 @@ AROUND_WORDS = frozenset(
 )
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
+_TAG = re.compile(r"<[A-Za-z/!?]")
 
 
 class Node:
-    __slots__ = ("tag", "words", "parent", "text", "linked", "chars")
+    __slots__ = ("tag", "words", "parent", "around", "text", "linked", "chars")
 
-    def __init__(self, tag: str, words: frozenset, parent: int):
+    def __init__(self, tag: str, words: frozenset, parent: int, within: bool = False):
         self.tag, self.words, self.parent = tag, words, parent
+        self.around = within or tag in AROUND or not words.isdisjoint(AROUND_WORDS)
         self.text: list[str] | None = None
         self.linked = self.chars = 0
 
 
 class Page(HTMLParser):
     """The block tree of a page, parents before children. Unclosed and stray tags are put right as browsers do for the
-    usual cases: a block closes an open paragraph, an item the item before it."""
+    usual cases: a block closes an open paragraph, an item the item before it, what may not stand in a head the head, and the end of a block
+    what is hidden in it. A tag that the page ends in is left out."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
@@ -71,14 +77,17 @@ class Page(HTMLParser):
         self.hidden: list[str] = []
         self.links = 0
         self.run: Node | None = None
-        self.feed(html)
+        self.open: Counter = Counter(["html"])
+        ended = html.rfind(">") + 1  # nothing behind it is a whole tag; the parser would try each one up to the end
+        cut = _TAG.search(html, ended)
+        self.feed(html[: cut.start()] if cut else html)
         self.close()
 
     def handle_starttag(self, tag: str, attrs) -> None:
         if self.hidden:
-            if tag in HIDDEN and tag not in VOID:
-                self.hidden.append(tag)
-            if not (self.hidden[0] == "head" and tag == "body"):
+            if self.hidden != ["head"] or tag in IN_HEAD:
+                if tag not in VOID and tag not in INLINE:
+                    self.hidden.append(tag)
                 return
             self.hidden.clear()
         if tag in HIDDEN:
@@ -102,15 +111,22 @@ class Page(HTMLParser):
         words = frozenset() if tag in ("html", "body") else frozenset(
             w for k, v in attrs if k in ("class", "id", "role", "aria-label") and v for w in _WORD.findall(v.lower())
         )
-        self.nodes.append(Node(tag, words, self.stack[-1][1]))
+        parent = self.stack[-1][1]
+        self.nodes.append(Node(tag, words, parent, self.nodes[parent].around))
         self.stack.append((tag, len(self.nodes) - 1))
+        self.open[tag] += 1
+
+    def cut(self, k: int) -> None:
+        """Close the k-th open element and all within it."""
+        self.open.subtract(name for name, _ in self.stack[k:])
+        del self.stack[k:]
 
     def leave(self, tag: str, within: tuple | None) -> None:
         """Close the innermost ``tag`` unless one of ``within`` is open inside it."""
-        for k in range(len(self.stack) - 1, 0, -1):
+        for k in range(len(self.stack) - 1, 0, -1) if self.open[tag] else ():
             name = self.stack[k][0]
             if name == tag:
-                del self.stack[k:]
+                self.cut(k)
                 return
             if within is not None and name in within or within is None and name not in ("p",):
                 return
@@ -120,14 +136,17 @@ class Page(HTMLParser):
             if tag in self.hidden:
                 while self.hidden.pop() != tag:
                     pass
-            return
+                return
+            if not self.open[tag]:
+                return
+            self.hidden.clear()
         if tag in INLINE:
             self.links -= tag == "a" and self.links > 0
             return
         self.run = None
-        for k in range(len(self.stack) - 1, 0, -1):
+        for k in range(len(self.stack) - 1, 0, -1) if self.open[tag] else ():
             if self.stack[k][0] == tag:
-                del self.stack[k:]
+                self.cut(k)
                 self.links = 0
                 return
 
@@ -137,7 +156,8 @@ class Page(HTMLParser):
         if self.run is None:
             if not data.strip():
                 return
-            self.run = Node("#text", frozenset(), self.stack[-1][1])
+            parent = self.stack[-1][1]
+            self.run = Node("#text", frozenset(), parent, self.nodes[parent].around)
             self.run.text = []
             self.nodes.append(self.run)
         self.run.text.append(data)
@@ -177,10 +197,11 @@ def labels(nodes: list[Node]) -> list[int] | None:
 
 
 class Model:
-    """Log potentials: of a feature under each state, and of a child's state under its parent's."""
+    """Log potentials: of a feature under each state, and of a child's state under its parent's, apart for children of what surrounds
+    articles by name."""
 
     def __init__(self, pages: list[str]):
-        counts, states, edges = Counter(), np.zeros(2), np.full((2, 2), SMOOTHING)
+        counts, states, edges = Counter(), np.zeros(2), np.full((2, 2, 2), SMOOTHING)
         for html in pages:
             nodes = Page(html).nodes
             marked = labels(nodes)
@@ -190,7 +211,7 @@ class Model:
                 states[y] += 1
                 counts.update((f, y) for f in fs)
                 if n.parent >= 0:
-                    edges[marked[n.parent], y] += 1
+                    edges[int(nodes[n.parent].around), marked[n.parent], y] += 1
         if not states.any():  # no labelled page: what surrounds articles is known by name only
             for name in AROUND | AROUND_WORDS:
                 counts[("tag" if name in AROUND else "word", name), 0] += 20
@@ -202,11 +223,17 @@ class Model:
         self.weight = {
             f: tuple(math.log((counts[f, y] + SMOOTHING) / (states[y] + 2 * SMOOTHING)) for y in (0, 1)) for f in names
         }
-        for name in AROUND:  # names that the sample may not hold keep what they mean
-            self.weight.setdefault(("tag", name), (0.0, MEANT))
-        for name in AROUND_WORDS:
-            self.weight.setdefault(("word", name), (0.0, MEANT))
-        self.edge = np.log(edges / edges.sum(axis=1, keepdims=True)).tolist()
+        for f, (w0, w1) in self.weight.items():
+            if f[0] != "word" and f[1] not in AROUND and f[1] not in ARTICLE:
+                gap = min(max(w1 - w0, -LIMIT), LIMIT)
+                self.weight[f] = (-gap / 2, gap / 2)
+        for name in [("tag", n) for n in AROUND] + [("word", n) for n in AROUND_WORDS]:
+            w0, w1 = self.weight.get(name, (0.0, MEANT))
+            if w1 < w0:  # a name that the sample doesn't hold in articles keeps what it means
+                self.weight[name] = (0.0, min(w1 - w0, MEANT))
+        edge = np.log(edges / edges.sum(axis=2, keepdims=True))
+        edge[1, 0, 1] = min(edge[1, 0, 1], MEANT / 4)
+        self.edge = edge.tolist()
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """The probability of each node to be content: messages up, then down."""
@@ -218,7 +245,7 @@ class Model:
                 if w:
                     a, b = a + w[0], b + w[1]
             own.append([a, b])
-        (e00, e01), (e10, e11) = self.edge
+        edge = [self.edge[nodes[n.parent].around] for n in nodes]
 
         def either(x: float, y: float) -> float:
             return x + math.log1p(math.exp(y - x)) if x > y else y + math.log1p(math.exp(x - y))
@@ -226,6 +253,7 @@ class Model:
         up = [None] * len(nodes)
         for k in range(len(nodes) - 1, 0, -1):  # own[k] holds the node's potential and all messages from below
             a, b = own[k]
+            (e00, e01), (e10, e11) = edge[k]
             m = (either(e00 + a, e01 + b), either(e10 + a, e11 + b))
             up[k] = m
             parent = own[nodes[k].parent]
@@ -236,6 +264,7 @@ class Model:
             if n.parent >= 0:
                 pa, pb = own[n.parent][0] - up[k][0], own[n.parent][1] - up[k][1]
                 a, b = own[k]
+                (e00, e01), (e10, e11) = edge[k]
                 own[k] = [a + either(pa + e00, pb + e10), b + either(pa + e01, pb + e11)]
             a, b = own[k]
             out[k] = 1 / (1 + math.exp(min(max(a - b, -700), 700)))
