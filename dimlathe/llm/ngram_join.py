@@ -4,20 +4,21 @@
    hashes. Documents with equal sets form a class, and only its smallest doc_id goes on.
 2. *Groups.* Shingles are ordered globally, rare ones first, by a frequency table of fixed size. Two sets that reach the
    threshold share one of the first ``n - ceil(t n) + 1`` shingles of each (prefix filter), so classes are grouped by these.
-3. *Stars.* Each class is verified against one leader of its groups. That joins nearly all members of a family of
-   copies without looking at its pairs.
-4. *Signature trees.* What is left are groups that hold classes of different components. Their members are
+3. *Stars.* Each class is compared with one leader of its groups by size and signature. A pair that may link puts both into one
+   family. That joins nearly all members of a family of copies without looking at its pairs.
+4. *Signature trees.* What is left are groups that hold classes of different families. Their members are
    dealt to nodes by size and signature; pairs of nodes whose size ranges cannot reach the threshold are dropped. A task
    takes one pair of nodes, builds a tree over each (a node holds the OR of its members' token bitmaps and their range of sizes) and
    descends both at once; a pair of nodes is pruned when its largest possible overlap is too small, or when all
-   members are of one component already. Pairs that come through are verified on the sets.
-
-5. *Links.* ``linked`` also counts every document's links. All links lie within a component, so the classes of each component are dealt
-   to blocks of about ``BLOCK`` by size and hash. A task takes two blocks, descends their signature trees without pruning by
-   component, counts overlaps on the sets and sums up what each class is linked with. ``class_pairs`` gives the pairs themselves.
+   members are of one family already. Of the pairs that come through a task returns a forest: each class with the smallest
+   one it hangs together with, so there are never more rows than members.
+5. *Links.* All links lie within a family. A small family is one block, a large one is dealt to blocks by size and hash. A task takes
+   two blocks, descends their signature trees, counts overlaps on the sets, sums up what each class is linked with and returns the
+   links as a forest once more; the components are those of all forests. ``class_pairs`` gives the pairs themselves. This is the only
+   step that moves sets: each once in a small family, else once to each block of like size.
 
 A link is lost only if a bound fails, and all bounds are necessary conditions; so the components are exact (up to 64-bit hash
-collisions). Verified pairs, not all pairs, are what tasks emit.
+collisions).
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from dimlathe.llm.common import pick, shuffle_partitions, whole_text
@@ -39,12 +41,14 @@ PERCENT = 85
 #: Entries of the frequency table (one byte each once it is made): fixed, whatever the input's size.
 SLOTS = 1 << 21
 SLOT_BLOCK = 1 << 14
-#: Bits of a set's signature.
-BITS = 512
+#: Bits of a set's signature: four to eight times its size, within these bounds.
+BITS, MOST_BITS = 512, 8192
 #: Members of a tree's leaf, children of a node, and members of one task's node, about.
 LEAF, FAN, NODE = 8, 4, 512
-#: Classes of a block whose links are counted, about, and tokens that a step of counting takes.
-BLOCK, STEP = 256, 4096
+#: Tasks of at most this many members are searched pair by pair, many tasks at once.
+FEW = 12
+#: Classes and tokens of a block whose links are counted, about, and tokens that a step of counting takes.
+BLOCK, TOKENS, STEP = 512, 1 << 18, 4096
 
 #: Blocks of counts that one task sums up.
 GATHERED = 64
@@ -137,12 +141,66 @@ def needed(a, b, percent: int = PERCENT):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def bitmap(hashes: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(hashes >> np.uint64(8)) % np.uint64(BITS)] = 1
+def bitmap(hashes: np.ndarray, width: int = BITS) -> np.ndarray:
+    bits = np.zeros(width, np.uint8)
+    bits[(hashes >> np.uint64(8)) % np.uint64(width)] = 1
     return np.packbits(bits)
 
 
+def width_for(n: int) -> int:
+    """Bits of the signature of a set of this size, a power of two."""
+    return min(MOST_BITS, max(BITS, 1 << (4 * n).bit_length()))
+
+
+def signatures(bits: pd.Series) -> np.ndarray:
+    """The signatures of some sets as rows of words, as wide as the narrowest: the parts of wider ones are combined."""
+    widths = bits.map(len).to_numpy()
+    width = int(widths.min())
+    out = np.empty((len(bits), width // 8), np.uint64)
+    for w in np.unique(widths):
+        at = np.flatnonzero(widths == w)
+        parts = np.frombuffer(b"".join(bits.iloc[at]), np.uint64).reshape(len(at), w // width, width // 8)
+        out[at] = np.bitwise_or.reduce(parts, axis=1)
+    return out
+
+
+def may_link(bits: pd.Series, sizes: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """For pairs of places, whether sizes and signatures allow the threshold. Each pair is judged at the width of its narrower one."""
+    widths = bits.map(len).to_numpy()
+    narrow = np.minimum(widths[i], widths[j])
+    out = np.zeros(len(i), bool)
+    for w in np.unique(narrow):
+        of_width = np.flatnonzero(narrow == w)
+        for k in range(0, len(of_width), 1 << 14):
+            at = of_width[k : k + (1 << 14)]
+            used, ends = np.unique(np.concatenate([i[at], j[at]]), return_inverse=True)
+            words = signatures(bits.iloc[used])
+            x, y = ends[: len(at)], ends[len(at) :]
+            a, b = sizes[i[at]], sizes[j[at]]
+            slack = sizes[used] - np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+            shared = np.bitwise_count(words[x] & words[y]).sum(axis=1, dtype=np.int64)
+            most = np.minimum(shared + np.minimum(slack[x], slack[y]), np.minimum(a, b))
+            out[at] = most >= needed(a, b, percent)
+    return out
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The edges (a, b) as fewer ones with the same components: each node but the smallest of its component, and that one."""
+    nodes, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while (root[x] != root[y]).any():
+        low = np.minimum(root[x], root[y])
+        hung = root.copy()
+        np.minimum.at(hung, root[x], low)
+        np.minimum.at(hung, root[y], low)
+        while (hung[hung] != hung).any():
+            hung = hung[hung]
+        root = hung[root]
+    rest = root != np.arange(len(nodes))
+    return nodes[rest], nodes[root[rest]]
+
+
 def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
     """log2 of how many documents hold a shingle of each slot. The table has ``SLOTS`` entries at any input size: tasks
     send blocks of partial counts, which are summed by block."""
@@ -200,7 +258,7 @@ def profiles(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Dat
                 head = found[order[: prefix_length(len(found), percent)]] if len(found) else found
                 digest = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
                 rep = int.from_bytes(digest[:8], "little", signed=True)
-                rows.append((doc_id, len(found), digest, rep, head.view(np.int64), bitmap(found).tobytes()))
+                rows.append((doc_id, len(found), digest, rep, head.view(np.int64), bitmap(found, width_for(len(found))).tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "n", "digest", "rep", "prefix", "bits"])
 
     read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
@@ -226,17 +284,20 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame
     return found.join(wanted.select(F.col("rep").alias("__r")), F.col("rep") == F.col("__r"), "left_semi").dropDuplicates(["rep"])
 
 
-def verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """The pairs (a, b) of classes whose sets reach the threshold. Sets are computed again from the texts of just the
-    documents in question and joined by class; adaptive execution splits a class in many pairs."""
-    wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct().join(classes.select("rep", "name"), "rep")
-    # One shuffle of the sets by class serves both joins.
-    sets = sets_of(docs, scratch.write(wanted, "wanted"), words)
-    left = sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b"))
-    joined = pairs.join(left, "a").join(right, "b")
-    common = joined.select("a", "b", F.size("set_a").alias("na"), F.size("set_b").alias("nb"), F.size(F.array_intersect("set_a", "set_b")).alias("i"))
-    return common.where(F.col("i") * 100 >= (F.col("na") + F.col("nb") - F.col("i")) * percent).select("a", "b")
+def likely(pairs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of classes that may reach the threshold by their sizes and signatures."""
+    left = classes.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("bits").alias("bits_a"))
+    right = classes.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bits_b"))
+
+    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                bits = pd.concat([batch["bits_a"], batch["bits_b"]], ignore_index=True)
+                sizes = np.concatenate([batch["na"], batch["nb"]]).astype(np.int64)
+                at = np.arange(len(batch))
+                yield batch.loc[may_link(bits, sizes, at, at + len(batch), percent), ["a", "b"]]
+
+    return pairs.join(left, "a").join(right, "b").select("a", "na", "bits_a", "b", "nb", "bits_b").mapInPandas(judge, "a long, b long")
 
 
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
@@ -342,8 +403,9 @@ def traverse(one: Tree, two: Tree, percent: int = PERCENT) -> tuple[np.ndarray,
     return np.concatenate([k[0] for k in kept]), np.concatenate([k[1] for k in kept])
 
 
-def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
-    """Candidate pairs (a < b) of different components out of groups that hold more than one component."""
+def tree_forest(postings: DataFrame, classes: DataFrame, comps: DataFrame, scratch: Scratch, percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) that join all classes which may link, of different components, out of groups that hold more than one component: no
+    more of them than rows that are searched."""
     labelled = postings.join(comps, postings["rep"] == comps["node"], "left").select(
         "h", "rep", F.coalesce("component", "rep").alias("component")
     )
@@ -354,11 +416,11 @@ def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, scratc
     # Groups with the same members need one visit: their signature is the XOR of the members' hashes, twice.
     open_groups = groups.where("low <> high").groupBy("c", "s1", "s2").agg(F.min("h").alias("h"))
     open_groups = scratch.write(open_groups.select(F.col("h").alias("g"), F.ceil(F.col("c") / NODE).cast("int").alias("salts")), "open")
-    sized = classes.select(F.col("rep").alias("r"), "n", "bits")
+    sized = classes.select(F.col("rep").alias("r"), "n")
     step = -float(np.log(percent / 100)) / 2
     members = labelled.join(open_groups, F.col("h") == F.col("g")).join(sized, F.col("rep") == F.col("r"))
     members = members.select(
-        "h", "rep", "component", "n", "bits",
+        "h", "rep", "component", "n",
         F.struct(F.floor(F.ln("n") / step).cast("int").alias("s"), F.pmod(F.xxhash64("rep"), F.col("salts")).cast("int").alias("k")).alias("node"),
     )
     members = scratch.write(members, "members")
@@ -375,28 +437,51 @@ def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, scratc
 
     keys = ["h", "s", "k", "s2", "k2"]
 
-    def pairs_of(sizes, bits, comps, reps, split: int) -> np.ndarray:
-        """Pairs out of one task's two nodes (the second starts at ``split``), or out of one with itself."""
-        one = Tree(sizes[:split], bits[:split], comps[:split])
-        two = Tree(sizes[split:], bits[split:], comps[split:]) if split < len(reps) else one
+    def few(bits, sizes, comps, starts, lengths, splits) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs out of small tasks, all tasks of one shape at once."""
+        i, j = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for length, split in np.unique(np.stack([lengths, splits], axis=1), axis=0):
+            x, y = np.triu_indices(length, 1)
+            if split < length:
+                across = (x < split) & (y >= split)
+                x, y = x[across], y[across]
+            at = starts[(lengths == length) & (splits == split)][:, None]
+            i.append((at + x).ravel())
+            j.append((at + y).ravel())
+        i, j = np.concatenate(i), np.concatenate(j)
+        apart = comps[i] != comps[j]
+        i, j = i[apart], j[apart]
+        ok = may_link(bits, sizes, i, j, percent)
+        return i[ok], j[ok]
+
+    def many(bits, sizes, comps, split: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pairs out of one task's two nodes (the second starts at ``split``), or out of one with itself."""
+        words = signatures(bits)
+        one = Tree(sizes[:split], words[:split], comps[:split])
+        two = Tree(sizes[split:], words[split:], comps[split:]) if split < len(sizes) else one
         i, j = traverse(one, two, percent)
-        x, y = reps[i], reps[j + split if split < len(reps) else j]
-        found = np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1)[x != y]
-        return np.unique(found, axis=0)
+        return i, j + split if split < len(sizes) else j
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by key; what may go on in the next batch is held over.
         def worked(rows: pd.DataFrame) -> pd.DataFrame:
             ids = rows[keys].to_numpy(np.int64)
             starts = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]).any(axis=1), [True])))
-            bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+            bits = rows["bits"]
             sizes, comps, reps, second = (rows[c].to_numpy(np.int64) for c in ("n", "component", "rep", "side"))
-            found = [np.empty((0, 2), np.int64)]
-            for a, b in zip(starts[:-1], starts[1:], strict=True):
-                split = b - a - int(second[a:b].sum())
-                found.append(pairs_of(sizes[a:b], bits[a:b], comps[a:b], reps[a:b], split))
-            pairs = np.concatenate(found)
-            return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+            lengths = np.diff(starts)
+            splits = lengths - np.add.reduceat(second, starts[:-1])
+            small = lengths <= FEW
+            i, j = few(bits, sizes, comps, starts[:-1][small], lengths[small], splits[small])
+            one, two = [reps[i]], [reps[j]]
+            for a, length, split in zip(starts[:-1][~small], lengths[~small], splits[~small], strict=True):
+                b = a + length
+                i, j = many(bits.iloc[a:b], sizes[a:b], comps[a:b], split)
+                x, y = forest(reps[a + i], reps[a + j])
+                one.append(x)
+                two.append(y)
+            x, y = forest(np.concatenate(one), np.concatenate(two))
+            return pd.DataFrame({"a": x, "b": y})
 
         held = None
         for batch in batches:
@@ -411,11 +496,13 @@ def tree_pairs(postings: DataFrame, classes: DataFrame, comps: DataFrame, scratc
         if held is not None and len(held):
             yield worked(held)
 
-    dealt = dealt.select("h", "node.s", "node.k", F.col("node2.s").alias("s2"), F.col("node2.k").alias("k2"), "side", "rep", "n", "bits", "component")
+    dealt = dealt.select("h", "node.s", "node.k", F.col("node2.s").alias("s2"), F.col("node2.k").alias("k2"), "side", "rep", "n", "component")
+    # Narrow rows are dealt first; signatures join last.
+    dealt = dealt.join(classes.select(F.col("rep").alias("r"), "bits"), F.col("rep") == F.col("r")).drop("r")
     # An explicit number of partitions: the rows are few but the work on them is not.
     parts = max(shuffle_partitions(classes.sparkSession), classes.sparkSession.sparkContext.defaultParallelism) * 2
     dealt = dealt.repartition(parts, *keys).sortWithinPartitions(*keys, "side", "n", "rep")
-    return dealt.mapInPandas(search, "a long, b long").distinct()
+    return dealt.mapInPandas(search, "a long, b long")
 
 
 def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
@@ -439,12 +526,16 @@ def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
 
 
 def _dealt(classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int, words: int) -> DataFrame:
-    """Rows for tasks: the classes of two blocks of one component, with their sets. Components of one class have no rows."""
-    several = classes.groupBy("component").agg(F.count("*").alias("k")).where("k > 1").select(F.col("component").alias("g"))
+    """Rows for tasks: the classes of two blocks of one component, with their sets. Components of one class have no rows, small ones
+    are one block."""
+    several = classes.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("tokens")).where("k > 1")
+    several = several.select(F.col("component").alias("g"), ((F.col("k") <= BLOCK) & (F.col("tokens") <= TOKENS)).alias("whole"))
     step = -float(np.log(percent / 100)) / 2
-    live = classes.join(several, F.col("component") == F.col("g"), "left_semi").withColumn("s", F.floor(F.ln("n") / step).cast("int"))
+    live = classes.join(several, F.col("component").eqNullSafe(F.col("g"))).drop("g")
+    live = live.withColumn("s", F.when(F.col("whole"), -1).otherwise(F.floor(F.ln("n") / step)).cast("int")).drop("whole")
     live = scratch.write(live, "live")
-    sized = live.groupBy("component", "s").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("salts"), F.min("n").alias("low"), F.max("n").alias("high"))
+    salts = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / TOKENS)).cast("int")
+    sized = live.groupBy("component", "s").agg(salts.alias("salts"), F.min("n").alias("low"), F.max("n").alias("high"))
     sized = scratch.write(sized, "sized")
 
     members = live.join(sized.select("component", "s", "salts"), ["component", "s"])
@@ -466,13 +557,14 @@ def _dealt(classes: DataFrame, docs: DataFrame, scratch: Scratch, percent: int,
 
 
 def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
-    """The verified pairs of classes (a, b: digests), or per class and task the documents of other classes that it is linked with."""
+    """The verified pairs of classes (a, b: digests), or per class and task the documents of other classes that it is linked with, and the
+    smallest class that those links join it with."""
     keys = ["component", "s1", "k1", "s2", "k2"]
 
     def linked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
         """Places of linked classes in the rows of one task, each pair once."""
         split = len(rows) - int(rows["side"].sum())
-        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
+        bits = signatures(rows["bits"])
         sizes, names = rows["n"].to_numpy(np.int64), np.arange(len(rows))
         one = Tree(sizes[:split], bits[:split], names[:split])
         alone = split == len(rows)
@@ -495,13 +587,16 @@ def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
 
     def told(rows: pd.DataFrame) -> pd.DataFrame:
         i, j = linked(rows)
-        names = rows["digest"].to_numpy()
         if pairs:
+            names = rows["digest"].to_numpy()
             return pd.DataFrame({"a": names[i], "b": names[j]})
         copies, total = rows["copies"].to_numpy(np.int64), np.zeros(len(rows), np.int64)
         np.add.at(total, i, copies[j])
         np.add.at(total, j, copies[i])
-        return pd.DataFrame({"digest": names[total > 0], "links": total[total > 0]})
+        reps = rows["rep"].to_numpy(np.int64)
+        kept = np.flatnonzero(total)
+        roots = dict(zip(*(x.tolist() for x in forest(reps[i], reps[j])), strict=True))
+        return pd.DataFrame({"rep": reps[kept], "links": total[kept], "root": [roots.get(r, r) for r in reps[kept].tolist()]})
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # Rows come sorted by key; what may go on in the next batch is held over.
@@ -519,13 +614,13 @@ def _searched(dealt: DataFrame, percent: int, pairs: bool) -> DataFrame:
         if held:
             yield told(pd.concat(held, ignore_index=True))
 
-    return dealt.mapInPandas(search, "a binary, b binary" if pairs else "digest binary, links long")
+    return dealt.mapInPandas(search, "a binary, b binary" if pairs else "rep long, links long, root long")
 
 
-def classified(docs: DataFrame, made: DataFrame, rows: DataFrame, scratch: Scratch, percent: int, words: int) -> DataFrame:
-    """Every class of equal sets: rep, name (its smallest doc_id), n, digest, bits, copies (rows that have it), component and top,
-    the smallest doc_id of its component. Classes are known by their sets, so a doc_id with several texts stands for several;
-    these are in one component."""
+def classified(docs: DataFrame, made: DataFrame, rows: DataFrame, scratch: Scratch, percent: int, words: int, pairs: bool = False) -> DataFrame:
+    """Every class of equal sets: rep, name (its smallest doc_id), n, copies (rows that have it), others (rows of other classes linked
+    with it), component and top, the smallest doc_id of its component. Classes are known by their sets, so a doc_id with several texts
+    stands for several; these are in one component. Or the linked pairs of classes."""
     whole = made.where("n > 0")
     classes = scratch.write(
         whole.groupBy("rep").agg(
@@ -537,10 +632,11 @@ def classified(docs: DataFrame, made: DataFrame, rows: DataFrame, scratch: Scrat
     # Of equal sets any row has the prefix; the first row's is taken before the shingles are dealt out.
     firsts = whole.groupBy("rep").agg(F.first("prefix").alias("prefix"))
     postings = scratch.write(firsts.select("rep", F.explode("prefix").alias("h")), "prefixes")
-    shared = postings.groupBy("h").agg(F.min("rep").alias("lead"), F.count("*").alias("c")).where("c > 1")
-    shared = scratch.write(shared.select(F.col("h").alias("g"), "lead"), "shared")
-    common = scratch.write(postings.join(shared, F.col("h") == F.col("g")).select("rep", "h", "lead"), "postings")
-    scratch.drop("prefixes", "shared", "profiles")
+    # One shuffle of the narrow postings, whatever the number of groups.
+    group = W.partitionBy("h")
+    counted = postings.withColumn("lead", F.min("rep").over(group)).withColumn("last", F.max("rep").over(group))
+    common = scratch.write(counted.where("lead <> last").select("rep", "h", "lead"), "postings")
+    scratch.drop("prefixes", "profiles")
     # A leader of unlike size cannot be near, so it is not worth fetching its set.
     sizes = classes.select(F.col("rep").alias("__r"), "n")
     told = common.where("rep <> lead").select("rep", "lead").distinct()
@@ -548,30 +644,39 @@ def classified(docs: DataFrame, made: DataFrame, rows: DataFrame, scratch: Scrat
     told = told.join(sizes.withColumnRenamed("n", "n2"), F.col("lead") == F.col("__r"))
     told = told.where(F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
     stars = told.groupBy(F.col("rep").alias("b")).agg(F.min("lead").alias("a")).select("a", "b")
-    first = scratch.write(verify(scratch.write(stars, "stars"), classes, docs, scratch, percent, words), "links")
+    first = scratch.write(likely(scratch.write(stars, "stars"), classes, percent), "likely")
     comps = components(first, scratch, "components")
-    pairs = scratch.write(tree_pairs(common.select("h", "rep"), classes, comps, scratch, percent), "pairs")
-    scratch.drop("postings", "members", "open")
-    second = verify(pairs, classes, docs, scratch, percent, words)
+    trees = scratch.write(tree_forest(common.select("h", "rep"), classes, comps, scratch, percent), "trees")
+    scratch.drop("postings", "members", "open", "stars")
+    families = components(first.union(trees), scratch, "families")
+    scratch.drop("likely", "trees", "components")
+    grouped = classes.join(families, F.col("rep") == F.col("node")).drop("node")
+    dealt = _dealt(grouped, docs, scratch, percent, words)
+    if pairs:
+        return _searched(dealt, percent, True)
+    told = scratch.write(_searched(dealt, percent, False), "told")
+    scratch.drop("families", "live", "sized", "dealt")
     # The classes of one id hang together.
     held = rows.where("n > 0")
     ids = held.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("z")).where("b <> z")
     twins = held.select("doc_id", F.col("rep").alias("a")).join(ids.select("doc_id", "b"), "doc_id").select("a", "b")
-    final = components(first.union(second).union(twins), scratch, "final")
-    scratch.drop("wanted", "pairs", "links", "stars", "components")
+    final = components(told.select(F.col("rep").alias("a"), F.col("root").alias("b")).union(twins), scratch, "final")
+    counts = told.groupBy(F.col("rep").alias("__r")).agg(F.sum("links").alias("others"))
     placed = classes.join(final, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+    placed = placed.join(counts, F.col("rep").eqNullSafe(F.col("__r")), "left").drop("__r").withColumn("others", F.coalesce("others", F.lit(0)))
     tops = placed.groupBy(F.col("component").alias("__c")).agg(F.min("name").alias("top"))
-    found = scratch.write(placed.join(tops, F.col("component").eqNullSafe(F.col("__c"))).drop("__c"), "classified")
-    scratch.drop("classes", "final")
+    found = placed.drop("bits", "digest").join(tops, F.col("component").eqNullSafe(F.col("__c"))).drop("__c")
+    found = scratch.write(found, "classified")
+    scratch.drop("classes", "final", "told")
     return found
 
 
-def _prepared(docs: DataFrame, percent: int, words: int) -> tuple[Scratch, DataFrame, DataFrame]:
-    """Scratch space, the narrow rows of all documents with an id (doc_id, n, rep), and the classes."""
+def _prepared(docs: DataFrame, percent: int, words: int, pairs: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The narrow rows of all documents with an id (doc_id, n, rep), and the classes, or the pairs of classes."""
     scratch = Scratch(docs.sparkSession)
     made = scratch.write(profiles(docs, percent, words), "profiles")
     rows = scratch.write(made.select("doc_id", "n", "rep"), "rows")
-    return scratch, rows, classified(docs, made, rows, scratch, percent, words)
+    return rows, classified(docs, made, rows, scratch, percent, words, pairs)
 
 
 def _nameless(docs: DataFrame, words: int) -> DataFrame:
@@ -585,8 +690,7 @@ def _nameless(docs: DataFrame, words: int) -> DataFrame:
 
 def class_pairs(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """a, b: all linked pairs of different classes by their digests, each pair once. With the classes' members these are all links."""
-    scratch, _, classes = _prepared(docs, percent, words)
-    return _searched(_dealt(classes, docs, scratch, percent, words), percent, True)
+    return _prepared(docs, percent, words, pairs=True)[1]
 
 
 def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -594,12 +698,8 @@ def linked(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataF
 
     Rows of equal sets are linked with each other. A row without words or doc_id has no links.
     """
-    scratch, rows, classes = _prepared(docs, percent, words)
-    dealt = _dealt(classes, docs, scratch, percent, words)
-    others = scratch.write(_searched(dealt, percent, False).groupBy("digest").agg(F.sum("links").alias("others")), "others")
-    scratch.drop("dealt", "live", "sized")
-    links = F.col("copies") - 1 + F.coalesce("others", F.lit(0))
-    known = classes.join(others, "digest", "left").select(F.col("rep").alias("__r"), "top", links.alias("n_links"))
+    rows, classes = _prepared(docs, percent, words)
+    known = classes.select(F.col("rep").alias("__r"), "top", (F.col("copies") - 1 + F.col("others")).alias("n_links"))
     with_id = rows.join(known, F.col("rep").eqNullSafe(F.col("__r")), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
     )
@@ -613,7 +713,7 @@ def join(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFra
     own with one name: links of any of them hold for the id. A null doc_id gives a row with a null component that is linked with
     nothing. Other columns are left out. An empty table gives no rows.
     """
-    _, rows, classes = _prepared(docs, percent, words)
+    rows, classes = _prepared(docs, percent, words)
     known = classes.select(F.col("rep").alias("__r"), "top")
     out = rows.join(known, F.col("rep").eqNullSafe(F.col("__r")), "left").select(
         "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("top", "doc_id").alias("component_id")

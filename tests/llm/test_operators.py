@@ -153,6 +153,60 @@ def test_links_within_a_family_are_all_counted(spark, docs, nothing):
     assert ngram_join.linked(nothing).count() == 0
 
 
+def test_likely_pairs_make_no_more_rows_than_members(spark, monkeypatch):
+    random.seed(4)
+    base = [f"w{random.randrange(4000)}" for _ in range(120)]
+    rows = []
+    for i in range(240):  # one family about the threshold: some of its 28,680 pairs are links, nearly all may be
+        words = list(base)
+        for _ in range(random.randrange(1, 4)):
+            words[random.randrange(len(words))] = f"new{random.randrange(9999)}"
+        rows.append((i, " ".join(words)))
+    written = {}
+    write = ngram_join.Scratch.write
+
+    def counted(self, df, name):
+        table = write(self, df, name)
+        written[name] = max(written.get(name, 0), table.count())
+        return table
+
+    monkeypatch.setattr(ngram_join.Scratch, "write", counted)
+    got = ngram_join.linked(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r)[:3] for r in got) == sorted(brute_components(rows, 85))
+    assert sum(r["n_links"] for r in got) > 240 * 20
+    assert max(written.values()) == written["prefixes"], written
+
+
+def test_signatures_of_unlike_width_lose_no_link():
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(2)
+    one = [np.unique(rng.choice(2**63, n).astype(np.uint64)) for n in (40, 130, 257, 900, 2600)]
+    two = [np.unique(np.concatenate([s[: int(0.93 * len(s))], rng.choice(2**63, len(s) // 30).astype(np.uint64)])) for s in one]
+    sets = one + two
+    bits = pd.Series([ngram_join.bitmap(s, ngram_join.width_for(len(s))).tobytes() for s in sets])
+    assert bits.map(len).nunique() > 3 and ngram_join.signatures(bits).shape == (10, 8)
+    narrow = np.stack([np.frombuffer(ngram_join.bitmap(s).tobytes(), np.uint64) for s in sets])
+    assert (ngram_join.signatures(bits) == narrow).all()
+    i, j = np.triu_indices(10, 1)
+    may = ngram_join.may_link(bits, np.array([len(s) for s in sets]), i, j)
+    both = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(i, j, strict=True)])
+    sizes = np.array([len(s) for s in sets])
+    assert (may == (100 * both >= 85 * (sizes[i] + sizes[j] - both))).all() and may.sum() == 5
+
+
+def test_forest_keeps_components_with_few_edges():
+    import numpy as np
+
+    a, b = np.array([9, 4, 7, 30, 31, 9, 4]), np.array([7, 9, 2, 31, 30, 2, 4])
+    assert dict(zip(*(x.tolist() for x in ngram_join.forest(a, b)), strict=True)) == {4: 2, 7: 2, 9: 2, 31: 30}
+    chain = np.arange(5000)
+    x, y = ngram_join.forest(chain[1:], chain[:-1])
+    assert len(x) == 4999 and not y.any()
+    assert not len(ngram_join.forest(chain[:0], chain[:0])[0])
+
+
 def test_tree_finds_every_close_pair():
     import numpy as np
 
