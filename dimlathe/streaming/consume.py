@@ -52,22 +52,31 @@ def parse_typed(messages: DataFrame, spec: TableSpec) -> DataFrame:
     return conform(parse_values(messages, spec.text_schema()), spec, show_unknown=False)
 
 
-def rejects(messages: DataFrame, spec: TableSpec) -> DataFrame:
-    """Messages that are no row of the table, as they came, with the reason. ``messages`` comes with positions."""
-    judged = messages.withColumn("__row", _parsed(spec.text_schema())).withColumn("reason", _reason([spec.surrogate]))
-    return judged.where("reason IS NOT NULL").select("position", "key", "value", "reason")
+def judged(messages: DataFrame, spec: TableSpec) -> DataFrame:
+    """Messages parsed once: the table's fields as text, the reason why a message is no row of the table (else NULL) as ``__reason``, and
+    as ``__lost`` the message as it came, where there is a reason. ``messages`` comes with positions."""
+    schema = spec.text_schema()
+    parsed = messages.withColumn("__row", _parsed(schema)).withColumn("__reason", _reason([spec.surrogate]))
+    lost = F.when(F.col("__reason").isNotNull(), F.struct("position", "key", "value"))
+    return parsed.select("__reason", lost.alias("__lost"), *(F.col(f"__row.`{f.name}`").alias(f.name) for f in schema))
+
+
+def rejects(judged_messages: DataFrame) -> DataFrame:
+    """What ``judged`` found to be no row: messages as they came, with the reason."""
+    return judged_messages.where("__reason IS NOT NULL").select("__lost.*", F.col("__reason").alias("reason"))
 
 
 def judged_sink(spec: TableSpec, sink: Sink, aside: str) -> Sink:
     """A sink for raw messages: rows go to ``sink``, rejected messages below ``aside``, both once per batch."""
 
     def store(batch: DataFrame, name: str) -> int:
-        batch = batch.persist()
+        # Kept are parsed rows, and of messages only the rejected ones.
+        batch = judged(batch, spec).persist()
         try:
-            bad = rejects(batch, spec).withColumn(BATCH, F.lit(name))
+            bad = rejects(batch).withColumn(BATCH, F.lit(name))
             # A batch that is run again replaces what it set aside.
             bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(aside)
-            good = parse_values(batch, spec.text_schema()).where(F.col(f"`{spec.surrogate}`").isNotNull())
+            good = batch.where("__reason IS NULL").drop("__reason", "__lost")
             return sink(conform(good, spec, show_unknown=False), name)
         finally:
             batch.unpersist()

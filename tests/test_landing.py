@@ -89,3 +89,23 @@ def test_broken_messages_are_set_aside_once(spark, rows, folder, again):
 def test_parsing_gives_no_empty_rows(spark, rows):
     messages = rows("key string, value string", ("a", '{"k": 1}'), ("b", "{broken"), ("c", None))
     assert [tuple(r) for r in consume.parse_typed(messages, EVENT).collect()] == [(1, None)]
+
+
+def test_messages_are_parsed_once_and_only_rejected_ones_are_kept(spark, folder):
+    from dimlathe.catalogue.storage import EVENT
+
+    good = '{"event_id":1,"ts":"2024-01-01 00:00:00","user_id":7,"event_type":"x","value":1.5}'
+    rows = [("f:0", "7", good), ("f:0", "8", good.replace(":1,", ":null,", 1)), ("f:0", "9", good[:20]), ("f:0", None, None)]
+    seen = []
+
+    def sink(batch, name):
+        plan = batch._jdf.queryExecution().withCachedData().toString()
+        seen.append((plan[: plan.index("InMemoryRelation")], [r["event_id"] for r in batch.collect()]))
+        return batch.count()
+
+    aside = f"{folder}/aside-once"
+    stored = consume.judged_sink(EVENT, sink, aside)(spark.createDataFrame(rows, "position string, key string, value string"), "b0")
+    assert stored == 1 and seen[0][1] == [1]
+    assert "from_json" not in seen[0][0]  # parsed below what is kept, not above
+    lost = {(r["position"], r["key"], r["value"], r["reason"]) for r in consume.read_rejects(spark, aside).drop(consume.BATCH).collect()}
+    assert lost == {("f:0", "8", rows[1][2], consume.NO_KEY), ("f:0", "9", rows[2][2], consume.NOT_AN_OBJECT), ("f:0", None, None, consume.NO_VALUE)}
