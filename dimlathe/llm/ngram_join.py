@@ -52,6 +52,8 @@ BLOCK, TOKENS, STEP = 512, 1 << 18, 4096
 
 #: Blocks of counts that one task sums up.
 GATHERED = 64
+#: Words of 64 bits in the filter by which documents are chosen: fixed, whatever the input's size.
+FILTER = 1 << 18
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -278,9 +280,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame, words: int = WORDS) -> DataFrame
             reps = [int.from_bytes(hashlib.blake2b(x.tobytes(), digest_size=16).digest()[:8], "little", signed=True) for x in sets]
             yield pd.DataFrame({"rep": reps, "set": [x.view(np.int64) for x in sets]})
 
-    read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("name"), whole_text().alias("text"))
-    kept = read.join(wanted.select(F.col("name").alias("__w")).distinct(), F.col("name") == F.col("__w"), "left_semi")
-    found = kept.select("text").mapInPandas(cut, "rep long, set array<long>")
+    # A bit per hash of a name, so that the texts are chosen where they are read. Bits may collide; the join on rep is exact.
+    def slot(of: str):
+        return F.pmod(F.xxhash64(of), F.lit(FILTER * 64))
+
+    bits = wanted.select(slot("name").alias("p")).groupBy(F.expr("shiftright(p, 6)").alias("__p"))
+    bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("__bits"))
+    read = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("name"), whole_text().alias("text"), slot("name").alias("p"))
+    here = (F.expr("shiftright(p, 6)") == F.col("__p")) & F.expr("shiftrightunsigned(__bits, int(p & 63)) & 1 = 1")
+    found = read.where("name IS NOT NULL").join(F.broadcast(bits), here, "left_semi").select("text").mapInPandas(cut, "rep long, set array<long>")
     return found.join(wanted.select(F.col("rep").alias("__r")), F.col("rep") == F.col("__r"), "left_semi").dropDuplicates(["rep"])
 
 
