@@ -26,9 +26,10 @@ from dimlathe.llm.common import pick, whole_text
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 WIDE = 256
-#: Encoded pieces that a worker remembers, and bytes of longest one it does.
-REMEMBERED, REMEMBERED_BYTES = 400_000, 64
-CHUNK = 2_000_000
+#: Encoded pieces that a task remembers, and bytes of longest one it does.
+REMEMBERED, REMEMBERED_BYTES = 100_000, 64
+#: Code points of texts that are taken together, about.
+CHUNK = 1_000_000
 #: The tokenizer's pattern as it reads on ASCII text, where the faster standard engine can take it.
 ASCII_PATTERN = r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+"
 _NONE = np.int64(1 << 40)
@@ -199,6 +200,10 @@ class Bpe:
                 found[piece] = entry
         return found
 
+    def forget(self) -> None:
+        """Workers stay alive for other tasks and other steps, so what a task has learned goes with it."""
+        self.known = {}
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
 
@@ -236,19 +241,27 @@ def encode(
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = loaded(path, pattern)
-        for batch in batches:
-            # Texts are taken together up to CHUNK code points, so that distinct pieces are many and memory is bounded.
-            chunk = batch["text"].str.len().cumsum() // CHUNK
-            for _, some in batch.groupby(chunk):
-                rows = []
-                for count, joined, decoded in encode_texts(bpe, some["text"].tolist()):
-                    digests = hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()
-                    ids = ([int(x) for x in joined.split()],) if keep_ids else ()
-                    rows.append((count, *ids, *digests))
-                names = ["n_tokens", "ids", "ids_sha256", "decoded_sha256"] if keep_ids else ["n_tokens", "ids_sha256", "decoded_sha256"]
-                out = pd.DataFrame(rows, columns=names)
-                out.insert(0, "doc_id", some["doc_id"].array)
-                yield out
+        try:
+            for batch in batches:
+                # Texts are taken together up to CHUNK code points, so that distinct pieces are many and memory is bounded.
+                chunk = batch["text"].str.len().cumsum() // CHUNK
+                for _, some in batch.groupby(chunk):
+                    yield told(bpe, some)
+        finally:
+            bpe.forget()
+
+    def told(bpe: Bpe, some: pd.DataFrame) -> pd.DataFrame:
+        counts, lists, digests = [], [], []
+        for count, joined, decoded in encode_texts(bpe, some["text"].tolist()):
+            counts.append(count)
+            digests.append((hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+            if keep_ids:
+                lists.append(np.array(joined.split(), np.int32))
+        out = pd.DataFrame({"doc_id": some["doc_id"].array, "n_tokens": counts})
+        if keep_ids:
+            out["ids"] = pd.Series(lists, out.index, object)
+        out["ids_sha256"], out["decoded_sha256"] = zip(*digests, strict=True)
+        return out
 
     read = pick(docs, "doc_id", "text").withColumn("text", whole_text())
     kind = read.schema["doc_id"].dataType.simpleString()

@@ -24,6 +24,7 @@ collisions).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -52,9 +53,27 @@ BLOCK, TOKENS, STEP = 512, 1 << 18, 4096
 
 #: Blocks of counts that one task sums up.
 GATHERED = 64
+#: Rows of a batch that goes to a Python worker: texts and sets are large, and each worker holds a batch several times over.
+BATCH = 2000
 #: Words of 64 bits in the filter by which documents are chosen: fixed, whatever the input's size.
 FILTER = 1 << 18
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While a table is made. Shuffle files go once it is written.
+_MAKING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH)}
+
+
+@contextmanager
+def _making(spark) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in _MAKING}
+    for k, v in _MAKING.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 class Scratch:
@@ -67,15 +86,8 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         self.drop(name)
         path = scratch_path(self.spark, f"ngram-{name}")
-        before = self.spark.conf.get(_CLEANUP, None)
-        self.spark.conf.set(_CLEANUP, "true")
-        try:
+        with _making(self.spark):
             df.write.parquet(path)
-        finally:
-            if before is None:
-                self.spark.conf.unset(_CLEANUP)
-            else:
-                self.spark.conf.set(_CLEANUP, before)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -223,20 +235,20 @@ def frequencies(docs: DataFrame, words: int = WORDS) -> np.ndarray:
         summed = sum(np.frombuffer(c, "<i8") for c in group["counts"])
         return pd.DataFrame({"block": group["block"][:1], "task": group["task"][:1] // GATHERED, "counts": [summed.tobytes()]})
 
+    def logs(group: pd.DataFrame) -> pd.DataFrame:
+        summed = sum(np.frombuffer(c, "<i8") for c in group["counts"])
+        return pd.DataFrame({"block": group["block"][:1], "classes": [np.log2(summed + 1).astype(np.uint8).tobytes()]})
+
     layout = "block int, task int, counts binary"
     texts = docs.select(whole_text().alias("text"))
     parts, tasks = texts.mapInPandas(count, layout), texts.rdd.getNumPartitions()
-    while tasks > 1:  # no more than GATHERED blocks come together in a group
+    while tasks > GATHERED:  # no more than GATHERED blocks come together in a group
         tasks = -(-tasks // GATHERED)
         parts = parts.groupBy("block", F.floor(F.col("task") / GATHERED).alias("g")).applyInPandas(gather, layout)
-
-    def logs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = [np.log2(np.frombuffer(c, "<i8") + 1).astype(np.uint8).tobytes() for c in batch["counts"]]
-            yield pd.DataFrame({"block": batch["block"], "classes": made})
-
-    # A few MB at any size of the input: SLOTS bytes.
-    rows = parts.mapInPandas(logs, "block int, classes binary").collect()
+    # The last sums become logarithms where they are made: a second Python step in the stage would take a second worker for each task.
+    with _making(docs.sparkSession):
+        # A few MB at any size of the input: SLOTS bytes.
+        rows = parts.groupBy("block").applyInPandas(logs, "block int, classes binary").collect()
     table = np.zeros((SLOTS // SLOT_BLOCK, SLOT_BLOCK), np.uint8)
     for row in rows:
         table[row["block"]] = np.frombuffer(row["classes"], np.uint8)
