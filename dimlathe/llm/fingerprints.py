@@ -117,7 +117,10 @@ def subtract(a: str, b: str) -> str:
 
 
 def peel(difference: str, seed: str) -> str:
-    """SQL: the digests that a subtracted block holds, null where peeling gets stuck."""
+    """SQL: the digests that a subtracted block holds, null where peeling gets stuck. Where the XOR of several digests passes for one,
+    that one is put in and taken out again, so a block in which a digest comes out twice counts as stuck.
+
+    ``out`` begins with two zeros."""
     single = "x <> 0 AND (x & 1048575) = (xxhash64(11, shiftrightunsigned(x, 20)) & 1048575)"
     emptied = _put("s.cells", "s.pure", seed)
     return f"""aggregate(
@@ -126,7 +129,7 @@ def peel(difference: str, seed: str) -> str:
       (s, n) -> CASE WHEN n > 1 AND size(s.pure) = 0 THEN s ELSE
         transform(array(IF(n = 1, s.cells, {emptied})), cells -> named_struct(
           'cells', cells, 'pure', array_distinct(filter(cells, x -> {single})), 'out', concat(s.out, s.pure)))[0] END,
-      s -> IF(size(s.pure) = 0 AND forall(s.cells, x -> x = 0), array_remove(s.out, 0L), NULL))"""
+      s -> IF(size(s.pure) = 0 AND size(array_distinct(s.out)) = size(s.out) - 1 AND forall(s.cells, x -> x = 0), array_remove(s.out, 0L), NULL))"""
 
 
 def grown(a: str, b: str) -> str:
