@@ -14,6 +14,7 @@ Native: built-in expressions only.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -24,6 +25,8 @@ from dimlathe.llm.common import parts_for, pick, whole_text
 
 #: Cells of a block, a multiple of three and 63 at most, and blocks of the published fingerprint.
 BLOCK, BLOCKS = 18, 3
+#: Seed of the published fingerprint's cells; retries are numbered from 1.
+PUBLISHED = "0"
 #: Digests of both versions in a block of the first retry, on average.
 LOAD = 6
 #: Retries: the n-th has up to 4^n times as many cells as the first. Two digests stay together in all of them with a chance of 4^-40.
@@ -81,18 +84,30 @@ def numbered(digests: str) -> Column:
     )
 
 
-def _places(digest: str, seed: str) -> str:
-    """SQL: a mask of the digest's cells, one in each third of the block."""
+def _triples() -> str:
+    """SQL: for each choice of one cell in each third of a block, which cells are chosen. The optimizer folds it into a constant."""
     third = BLOCK // 3
-    one = [f"shiftleft(1L, int(pmod(shiftright(h, {21 * k}) & 1048575, {third})) + {k * third})" for k in range(3)]
-    return f"transform(array(xxhash64({seed}, {digest})), h -> {' | '.join(one)})[0]"
+    chosen = [(x, third + y, 2 * third + z) for x in range(third) for y in range(third) for z in range(third)]
+    rows = json.dumps([[i in cells for i in range(BLOCK)] for cells in chosen], separators=(",", ":"))
+    return f"from_json('{rows}', 'array<array<boolean>>')"
+
+
+def _triple(digest: str, seed: str) -> str:
+    """SQL: the number of the digest's choice of cells. Published ones (seed 0) draw each third's cell from other bits of the hash."""
+    third = BLOCK // 3
+    if seed != PUBLISHED:
+        return f"int(pmod(xxhash64({seed}, {digest}), {third ** 3}))"
+    one = [f"(shiftrightunsigned(h, {21 * k}) & 1048575) % {third} * {third ** (2 - k)}" for k in range(3)]
+    return f"transform(array(xxhash64({seed}, {digest})), h -> int({' + '.join(one)}))[0]"
 
 
 def _put(cells: str, digests: str, seed: str) -> str:
-    """SQL: the cells with all digests put in, or taken out, each of its three."""
+    """SQL: the cells with all digests put in, or taken out, each of its three.
+
+    Spark interprets lambdas node by node, and this one runs for each digest and cell: so cells are looked up, not worked out."""
     return (
-        f"aggregate(transform({digests}, d -> named_struct('d', d, 'm', {_places('d', seed)})), {cells}, "
-        "(cells, e) -> transform(cells, (x, i) -> IF(shiftright(e.m, i) & 1 = 1, x ^ e.d, x)))"
+        f"aggregate({digests}, {cells}, (cells, e) -> "
+        f"zip_with(cells, get({_triples()}, {_triple('e', seed)}), (x, here) -> IF(here, x ^ e, x)))"
     )
 
 
@@ -108,7 +123,7 @@ def _block_of(digest: str, blocks: str) -> str:
 
 def sketch(digests: str) -> str:
     """SQL: the published cells of an array of digests, by block."""
-    cells = block(f"filter(v, d -> {_block_of('d', str(BLOCKS))} = j)", "0")
+    cells = block(f"filter(v, d -> {_block_of('d', str(BLOCKS))} = j)", PUBLISHED)
     return f"transform(array({digests}), v -> transform(sequence(0, {BLOCKS - 1}), j -> {cells}))[0]"
 
 
@@ -121,15 +136,15 @@ def peel(difference: str, seed: str) -> str:
     that one is put in and taken out again, so a block in which a digest comes out twice counts as stuck.
 
     ``out`` begins with two zeros."""
-    single = "x <> 0 AND (x & 1048575) = (xxhash64(11, shiftrightunsigned(x, 20)) & 1048575)"
+    single = "(x & 1048575) = (xxhash64(11, shiftrightunsigned(x, 20)) & 1048575)"
     emptied = _put("s.cells", "s.pure", seed)
     return f"""aggregate(
       sequence(1, {ROUNDS}),
       named_struct('cells', {difference}, 'pure', array(0L), 'out', array(0L)),
-      (s, n) -> CASE WHEN n > 1 AND size(s.pure) = 0 THEN s ELSE
+      (s, n) -> IF(size(s.pure) = 0, s,
         transform(array(IF(n = 1, s.cells, {emptied})), cells -> named_struct(
-          'cells', cells, 'pure', array_distinct(filter(cells, x -> {single})), 'out', concat(s.out, s.pure)))[0] END,
-      s -> IF(size(s.pure) = 0 AND size(array_distinct(s.out)) = size(s.out) - 1 AND forall(s.cells, x -> x = 0), array_remove(s.out, 0L), NULL))"""
+          'cells', cells, 'pure', filter(array_distinct(array_remove(cells, 0L)), x -> {single}), 'out', flatten(array(s.out, s.pure))))[0]),
+      s -> IF(size(s.pure) = 0 AND size(array_distinct(s.out)) = size(s.out) - 1 AND size(array_remove(s.cells, 0L)) = 0, array_remove(s.out, 0L), NULL))"""
 
 
 def grown(a: str, b: str) -> str:
@@ -159,7 +174,7 @@ def grown(a: str, b: str) -> str:
 def difference(a: str, b: str, sketch_a: str, sketch_b: str) -> str:
     """SQL: the digests in which two columns of digests differ. The columns' published sketches, given, are tried first, but not where
     more digests must differ than they have cells."""
-    each = f"zip_with({sketch_a}, {sketch_b}, (g, h) -> {peel(subtract('g', 'h'), '0')})"
+    each = f"zip_with({sketch_a}, {sketch_b}, (g, h) -> {peel(subtract('g', 'h'), PUBLISHED)})"
     first = f"transform(array({each}), t -> IF(exists(t, y -> y IS NULL), NULL, flatten(t)))[0]"
     return f"coalesce(IF(abs(size({a}) - size({b})) <= {BLOCK * BLOCKS}, {first}, NULL), {grown(a, b)})"
 

@@ -70,3 +70,17 @@ def test_sums_that_look_like_a_digest_are_not_told(spark):
     arrays = pairs.selectExpr("array(a) a", "array(b) b").cache()
     found = [r for r in arrays.select("a", "b", F.expr(fingerprints.grown("a", "b")).alias("x")).collect()]
     assert len(found) > 3 and all(sorted(r["x"]) == sorted(r["a"] + r["b"]) for r in found)
+
+
+def test_cells_are_looked_up(spark):
+    digests = spark.range(40).select(fingerprints.checked(F.xxhash64("id")).alias("d"))
+    plain = [0] * fingerprints.BLOCK * fingerprints.BLOCKS
+    for d, h in digests.selectExpr("d", "xxhash64(0, d) h").collect():
+        block = (((d >> 28) + (1 << 35)) * fingerprints.BLOCKS) >> 36
+        for k in range(3):
+            plain[block * fingerprints.BLOCK + 6 * k + ((h >> 21 * k) & 0xFFFFF) % 6] ^= d
+    row = digests.agg(F.sort_array(F.collect_list("d")).alias("p")).select(F.flatten(F.expr(fingerprints.sketch("p"))).alias("cells")).first()
+    assert row["cells"] == plain
+    frame = spark.createDataFrame([([],)], "d array<long>").select(F.expr(fingerprints.block("d", "1")).alias("cells"))
+    plan = frame._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "shiftright" not in plan and "from_json" not in plan  # what is done for each digest and cell is a look into a constant
